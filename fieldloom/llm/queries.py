@@ -28,6 +28,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.simhash import hex_fingerprint, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.exact_dedup import verdicts
 
