@@ -28,6 +28,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.line_dedup import verdicts
+
+    return verdicts(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.simhash import hex_fingerprint, near_duplicates
 
@@ -35,6 +41,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.sharding import shard
+
+    return shard(table(spark, sf_dir, "documents"), shards=16)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.exact_dedup import verdicts
 
