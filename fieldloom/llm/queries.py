@@ -22,6 +22,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.pii import digest
+
+    return digest(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.mixing import plan_mix
 
