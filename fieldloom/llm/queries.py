@@ -16,12 +16,32 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.quality import fit, grade
+
+    docs = table(spark, sf_dir, "documents")
+    return grade(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.sentencepiece_codec import round_trip
 
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.language_id import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, fit(docs))
+
+
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.media import text_media
+
+    return text_media(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.llm.pii import digest
 
