@@ -295,7 +295,7 @@ def resolve_urls(df: DataFrame, base: str, link: str, into: str = "url") -> Data
 
 def html_kv(pages: DataFrame, key: str, html: str, skip: Iterable[str] = ()) -> DataFrame:
     """<th>key</th><td>value</td> rows of a page as a map; line breaks to blanks, tags cut, named keys left out."""
-    rows = F.regexp_extract_all(q(html), F.lit(r"(?is)<th[^>]*>.*?</th>\s*<td[^>]*>.*?</td>"), F.lit(0))
+    rows = F.regexp_extract_all(q(html), F.lit(r"(?is)<th[^>]*>(?:(?!</th>).)*+</th>\s*<td[^>]*>(?:(?!</td>).)*+</td>"), F.lit(0))
     plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"(?i)<br\s*/?>", " "), r"<[^>]+>", ""), r"\s+", " "))
     pairs = F.transform(rows, lambda r: F.struct(plain(F.regexp_extract(r, r"(?is)<th[^>]*>(.*?)</th>", 1)).alias("key"), plain(F.regexp_extract(r, r"(?is)<td[^>]*>(.*?)</td>", 1)).alias("value")))
     wanted = F.filter(pairs, lambda p: ~p["key"].isin(*skip)) if skip else pairs
