@@ -1,6 +1,6 @@
 """Near-duplicate lines by a deletion-neighbourhood join.
 
-Lines are compared as rows of words. Equal lines are found first, by a 128-bit hash of the words; of each, the first
+Lines are compared as rows of words (parted by ASCII white space). Equal lines are found first, by a 128-bit hash of the words; of each, the first
 (smallest doc_id, then line number) stands for all. The edit bound is one word (put in, left out or replaced) for lines
 of at least ``LONG`` words, so similarity is at least 1 - 1/8, and none for shorter lines. A line's variants within the
 bound are the line itself and the line without each one of its words, emitted as hashed keys; two lines are within the
@@ -39,13 +39,13 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _halves(words: list[str]) -> list[int]:
+def _halves(words: list[bytes]) -> list[int]:
     """Hashes of the front and back half, for a partner that is as long and for one that is a word shorter."""
     out = []
     for size in (len(words), len(words) - 1):
         front = size // 2
         for side, part in enumerate((words[:front], words[len(words) - (size - front) :])):
-            out.append(_signed(xxhash.xxh64_intdigest(" ".join(part), 2 * size + side)))
+            out.append(_signed(xxhash.xxh64_intdigest(b" ".join(part), 2 * size + side)))
     return out
 
 
@@ -56,9 +56,9 @@ def lines(docs: DataFrame) -> DataFrame:
         for frame in row_pieces(frames):
             rows = []
             for doc_id, text in zip(frame["doc_id"], frame["text"].fillna(""), strict=True):
-                for no, line in enumerate(text.split("\n")):
+                for no, line in enumerate(text.encode().split(b"\n")):
                     words = line.split()
-                    joined = " ".join(words)
+                    joined = b" ".join(words)
                     h = xxhash.xxh128_intdigest(joined)
                     rows.append((doc_id, no, len(words), _signed(h >> 64), _signed(h & (1 << 64) - 1), _halves(words) if len(words) >= LONG else None))
             out = pd.DataFrame(rows, columns=["doc_id", "line_no", "n_words", "h1", "h2", "halves"])
@@ -68,7 +68,7 @@ def lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, _LINE)
 
 
-def variants(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def variants(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of a line and hashes of the line without its first, second, ... word, in one pass over the words."""
     with np.errstate(over="ignore"):
         hashed = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
@@ -84,7 +84,7 @@ def _mixed(x: np.ndarray, with_: np.ndarray | int) -> np.ndarray:
         return (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
 
 
-def within_one(a: list[str], b: list[str]) -> bool:
+def within_one(a: list[bytes], b: list[bytes]) -> bool:
     """Whether one word put in, left out or replaced turns a into b (or nothing at all)."""
     if len(a) > len(b):
         a, b = b, a
@@ -106,12 +106,12 @@ def _survivors(docs: DataFrame, first: DataFrame) -> DataFrame:
         for frame in row_pieces(frames):
             rows = []
             for doc_id, text, alive in zip(frame["doc_id"], frame["text"].fillna(""), frame["alive"], strict=True):
-                split = text.split("\n")
+                split = text.encode().split(b"\n")
                 for x in alive:
                     if x["line_no"] < len(split):
-                        joined = " ".join(split[x["line_no"]].split())
+                        joined = b" ".join(split[x["line_no"]].split())
                         if _signed(xxhash.xxh128_intdigest(joined) >> 64) == x["h1"]:
-                            rows.append((x["h1"], x["h2"], doc_id, x["line_no"], joined))
+                            rows.append((x["h1"], x["h2"], doc_id, x["line_no"], joined.decode()))
             out = pd.DataFrame(rows, columns=["h1", "h2", "doc_id", "line_no", "line"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
@@ -127,7 +127,7 @@ def _variant_keys(survivors: DataFrame) -> DataFrame:
         for frame in row_pieces(frames, 400_000, "line"):
             keys, roles, at = [], [], []
             for k, line in enumerate(frame["line"]):
-                whole, without = variants(line.split())
+                whole, without = variants(line.encode().split())
                 n = len(without)
                 keys += [_mixed(without, np.arange(1, n + 1)), without, np.array([whole])]
                 roles += [np.zeros(n, np.int8), np.full(n, 2, np.int8), np.ones(1, np.int8)]
@@ -158,7 +158,7 @@ def near_ties(docs: DataFrame, first: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ok = [within_one(a.split(), b.split()) for a, b in zip(frame["line_a"], frame["line_b"], strict=True)]
+            ok = [within_one(a.encode().split(), b.encode().split()) for a, b in zip(frame["line_a"], frame["line_b"], strict=True)]
             yield frame.loc[ok, ["h1", "h2", "g1", "g2", "a_doc", "a_line", "b_doc", "b_line"]]
 
     both = ties.join(left, ["h1", "h2"]).join(right, ["g1", "g2"])

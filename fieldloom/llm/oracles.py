@@ -48,3 +48,32 @@ WITH RECURSIVE d AS (
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, taken
 FROM k JOIN best ON k.seed = best.seed AND k.source IS NOT DISTINCT FROM best.source
 """
+
+op7_line_dedup = r"""
+WITH l AS (
+  SELECT doc_id, unnest(range(len(x))) AS line_no, unnest(x) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)
+), w AS (
+  SELECT doc_id, line_no, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda v: v <> '') AS words FROM l
+), a AS (
+  SELECT doc_id, line_no, len(words) AS n, words, array_to_string(words, ' ') AS joined FROM w
+), f AS (
+  SELECT joined, n, words, doc_id, line_no FROM a WHERE n > 0 QUALIFY row_number() OVER (PARTITION BY joined ORDER BY doc_id, line_no) = 1
+), v AS (
+  SELECT joined, n, doc_id, line_no, i, array_to_string(list_concat(words[:i - 1], words[i + 1:]), ' ') AS without
+  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM f WHERE n >= 8)
+), ties AS (
+  SELECT x.joined, y.doc_id, y.line_no FROM v x JOIN v y ON x.without = y.without AND x.i = y.i AND x.n = y.n WHERE (y.doc_id, y.line_no) < (x.doc_id, x.line_no)
+  UNION ALL SELECT x.joined, y.doc_id, y.line_no FROM v x JOIN f y ON x.without = y.joined WHERE y.n >= 8 AND (y.doc_id, y.line_no) < (x.doc_id, x.line_no)
+  UNION ALL SELECT y.joined, x.doc_id, x.line_no FROM v x JOIN f y ON x.without = y.joined WHERE y.n >= 8 AND (x.doc_id, x.line_no) < (y.doc_id, y.line_no)
+), near AS (
+  SELECT joined, min((doc_id, line_no)) AS p FROM ties GROUP BY joined
+), j AS (
+  SELECT a.doc_id, a.line_no, a.n, f.doc_id AS first_doc, f.line_no AS first_line, near.p[1] AS near_doc, near.p[2] AS near_line,
+         CASE WHEN a.n = 0 THEN NULL WHEN (a.doc_id, a.line_no) <> (f.doc_id, f.line_no) THEN 'same' WHEN near.p IS NOT NULL THEN 'near' END AS reason
+  FROM a LEFT JOIN f ON a.joined = f.joined AND a.n > 0 LEFT JOIN near ON a.joined = near.joined AND a.n > 0
+)
+SELECT doc_id, CAST(line_no AS INT) AS line_no, CAST(n AS INT) AS n_words, reason IS NULL AS kept, reason,
+       CASE reason WHEN 'same' THEN first_doc WHEN 'near' THEN near_doc ELSE doc_id END AS keep_doc_id,
+       CAST(CASE reason WHEN 'same' THEN first_line WHEN 'near' THEN near_line ELSE line_no END AS INT) AS keep_line_no
+FROM j
+"""
