@@ -77,3 +77,41 @@ SELECT doc_id, CAST(line_no AS INT) AS line_no, CAST(n AS INT) AS n_words, reaso
        CAST(CASE reason WHEN 'same' THEN first_line WHEN 'near' THEN near_line ELSE line_no END AS INT) AS keep_line_no
 FROM j
 """
+
+_luhn = """list_sum(list_transform(range(len(digits)), lambda i: CASE WHEN i % 2 = 0 THEN CAST(digits[len(digits) - i] AS INT)
+       ELSE CAST(digits[len(digits) - i] AS INT) * 2 - CASE WHEN CAST(digits[len(digits) - i] AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0"""
+_plain = "replace(match, ' ', '')"
+_mod97 = f"""list_reduce(list_prepend(0, list_transform(string_split({_plain}[5:] || {_plain}[:4], ''), lambda c: CASE WHEN ord(c) < 58 THEN ord(c) - 48 ELSE ord(c) - 55 END)),
+       lambda a, v: CASE WHEN v < 10 THEN (a * 10 + v) % 97 ELSE (a * 100 + v) % 97 END) = 1"""
+_kinds = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", 0.8, "mail|contact|write|reply"),
+    ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "list_bool_and(list_transform(string_split(match, '.'), lambda p: len(ltrim(p, '0')) <= 3 AND coalesce(TRY_CAST(ltrim(p, '0') AS INT), 0) <= 255))", 0.6, "ip|address|host|server"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", f"len(digits) BETWEEN 14 AND 19 AND {_luhn}", 0.85, "card|visa|credit|payment"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "len(digits) BETWEEN 10 AND 15", 0.6, "phone|call|tel|mobile|fax"),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b", _mod97, 0.9, "iban|account|bank|konto|compte|cuenta"),
+]
+_found = " UNION ALL ".join(
+    f"""SELECT doc_id, text, '{kind}' AS kind, {rank} AS rank, unnest(m) AS match, unnest(b[:len(m)]) AS gap, unnest(range(len(m))) AS i, {score} AS score, '(?:^|[^a-z0-9])(?:{words})' AS context
+    FROM (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS b FROM d)"""
+    for rank, (kind, pattern, _, score, words) in enumerate(_kinds)
+)
+_sure = " ".join(f"WHEN '{kind}' THEN {test}" for kind, _, test, _, _ in _kinds)
+
+op5_pii = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), f AS ({_found}), p AS (
+  SELECT *, regexp_replace(match, '[^0-9]', '', 'g') AS digits,
+         sum(length(gap) + length(match)) OVER (PARTITION BY doc_id, kind ORDER BY i) - length(match) AS start FROM f
+), s AS (
+  SELECT doc_id, kind, rank, start, start + length(match) AS fin,
+         score + CASE WHEN regexp_matches(lower(substring(text, CAST(greatest(start - 40, 0) + 1 AS BIGINT), CAST(least(start, 40) AS BIGINT))), context) THEN 0.1 ELSE 0 END AS score
+  FROM p WHERE CASE kind {_sure} END
+), g AS (
+  SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k[0]}') AS n_{k[0]}" for k in _kinds)},
+         string_agg(kind || ':' || start || ':' || fin, ',' ORDER BY start, rank) FILTER (rank < 4) AS base,
+         string_agg(kind || ':' || start || ':' || fin, ',' ORDER BY start, rank) AS spans,
+         string_agg(printf('%.2f', CAST(score AS DOUBLE)), ',' ORDER BY start, rank) AS scores
+  FROM s GROUP BY doc_id
+)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k[0]}, 0) AS n_{k[0]}" for k in _kinds)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+FROM d LEFT JOIN g USING (doc_id)
+"""

@@ -25,7 +25,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
 }
 #: A text without this has no match of the kind.
 HINTS = {"email": "@", "ip": ".", "phone": "+"}
@@ -112,7 +112,7 @@ def _scored(x: Column) -> Column:
     named = F.lit(False)
     base = F.lit(0.0)
     for kind in KINDS:
-        named = F.when(x["kind"] == kind, F.lower(ahead).rlike(rf"\b(?:{CONTEXT_WORDS[kind]})")).otherwise(named)
+        named = F.when(x["kind"] == kind, F.lower(ahead).rlike(rf"(?:^|[^a-z0-9])(?:{CONTEXT_WORDS[kind]})")).otherwise(named)
         base = F.when(x["kind"] == kind, F.lit(SCORES[kind])).otherwise(base)
     return F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind"), F.round(base + F.when(named, CONTEXT_SCORE).otherwise(0.0), 2).alias("score"))
 
