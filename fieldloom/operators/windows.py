@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from fieldloom.operators.storage import settled
 
 
 def ordinal(df: DataFrame, keys: list[str], order: list[str | Column], into: str = "ordinal") -> DataFrame:
@@ -24,7 +25,7 @@ def ffill(df: DataFrame, order: list[str], partition: list[str] | None = None, c
     if partition:
         before = W.partitionBy(*partition).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
         return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(before) for c in columns})
-    placed = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    placed = settled(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")  # one placement for both uses
     within = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     own = placed.withColumns({f"_own_{c}": F.last(F.col(c), ignorenulls=True).over(within) for c in columns})
     last = placed.groupBy("_part").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_last_{c}") for c in columns])
@@ -40,9 +41,18 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> Dat
 
 
 def number_rows(df: DataFrame, into: str = "row_no", order: list[str] | None = None) -> DataFrame:
-    """A gapless 1-based number in front (W04); numbers are dealt out by partition offsets, not by one task."""
-    rows = (df.orderBy(*order) if order else df).rdd.zipWithIndex().map(lambda x: (x[1] + 1, *x[0]))
-    return df.sparkSession.createDataFrame(rows, T.StructType([T.StructField(into, T.LongType(), False), *df.schema.fields]))
+    """A gapless 1-based number in front (W04), in the given order or as the partitions lie.
+
+    Rows are numbered where they are; what partitions tell each other is one count each.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = settled(placed.withColumns({"_part": F.spark_partition_id(), "_pos": within}), "numbered")
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # one row a partition
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    base = counts.select(F.col("_part").alias("_to"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    number = (F.col("_base") + F.col("_pos") + 1).alias(into)
+    return placed.join(F.broadcast(base), F.col("_part") == F.col("_to")).select(number, *[F.col(f"`{c}`") for c in df.columns])
 
 
 def nth_snapshot(df: DataFrame, column: str, n: int = 0) -> DataFrame:

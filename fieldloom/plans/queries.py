@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldloom.functions import text as X
 from fieldloom.operators import aggregates, columns, filters, joins, mapping, nested, sampling, sets, trees, windows
 from fieldloom.operators.columns import q
+from fieldloom.operators.storage import shared_folder
 from fieldloom.plans import checklists, genomes, occurrences
 from fieldloom.streaming import incremental
 
@@ -649,7 +650,7 @@ SELECT CAST(event_id AS VARCHAR) AS record, event_type AS scientific_name, 'DS:3
 def convert_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of landed files, converted until all that has landed is done."""
     events = table(spark, sf_dir, "events").select(q("event_id").cast("string").alias("event_id"), "event_type", "value")
-    landed = f"{trees.shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    landed = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
     events.repartition(4, "event_id").write.parquet(f"{landed}/in")
     stream = incremental.read_increment(spark, f"{landed}/in", events.schema, files_per_trigger=2)
     found = {"event_id": mapping.Target("collection", "record"), "event_type": mapping.Target("collection", "scientific_name")}

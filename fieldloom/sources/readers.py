@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldloom.operators.windows import number_rows
+
 _SPARE = "_beyond_the_header"
 
 
@@ -85,8 +87,7 @@ def read_stacked(spark: SparkSession, sections: dict[str, str], **options) -> Da
 
     def numbered(event: str, path: str) -> DataFrame:
         df = read_csv(spark, path, **options)
-        pairs = df.select(F.struct(*df.columns).alias(event)).rdd.zipWithIndex()
-        return pairs.map(lambda x: (x[1], x[0][0])).toDF(T.StructType([T.StructField("_row", T.LongType()), T.StructField(event, df.schema)]))
+        return number_rows(df.select(F.struct(*df.columns).alias(event)), "_row")
 
     return reduce(lambda a, b: a.join(b, "_row"), [numbered(e, p) for e, p in sections.items()]).drop("_row")
 
