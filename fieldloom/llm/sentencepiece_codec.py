@@ -2,8 +2,8 @@
 
 Encoding keeps a score-ordered agenda of adjacent symbol pairs: the pair whose union has the best score is merged, ties
 go to the leftmost, and unions with the new neighbours join the agenda. No piece of such a vocabulary has a blank mark
-after another character, so a text is the row of its segments (blank marks and what follows) and merges never cross a
-segment's border. The short segments of a batch are worked off together, a row of pair scores each; longer ones use a
+after another character, nor a line feed among others, so a text is the row of its segments (blank marks and what
+follows, cut at line feeds) and merges never cross a segment's border. The short segments of a batch are worked off together, a row of pair scores each; longer ones use a
 heap. Each distinct segment needs its agenda once for as long as a worker remembers it.
 
 Every batch is checked against the sentencepiece library: each segment that is new to the worker is encoded by it, each
@@ -28,11 +28,10 @@ from pyspark.sql import DataFrame
 from fieldloom.llm.common import row_pieces
 
 BLANK = "▁"
-_SEGMENT = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 #: Distinct segments in each of a worker's two generations; only speed depends on it.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Segments up to this many characters are worked off together.
-SHORT = 24
+SHORT = 32
 _NEVER = -np.inf
 
 
@@ -50,11 +49,16 @@ class MergeCodec:
         self.byte_ids = {int(p[1:-1], 16): i for i, p in enumerate(pieces) if lib.is_byte(i)}
         self.unknown, self.end = lib.unk_id(), lib.eos_id()
         self.crossing = any(BLANK in p.lstrip(BLANK) for p in self.ids)
+        joined = {c for p in self.ids if len(p) > 1 for c in p}
+        self.cuts = "".join(c for c in "\n\t\v\f" if c not in joined)
+        mark = BLANK + re.escape(self.cuts)
+        self.pattern = re.compile(f"{BLANK}+[^{mark}]*|[^{mark}]+" + (f"|[{re.escape(self.cuts)}]" if self.cuts else ""))
         self.raw = [b"" if lib.is_control(i) else bytes([int(p[1:-1], 16)]) if lib.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         self.printed = [str(i) for i in range(len(pieces))]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self._pair_table()
+        self.lead = self.long_segment(BLANK) + self.long_segment(self.cuts[0]) if self.cuts else b""
 
     def _pair_table(self) -> None:
         """Sorted keys of all pairs of symbols whose union is a piece; a character that is no piece has a symbol too."""
@@ -176,10 +180,11 @@ class MergeCodec:
                 new.append(p)
         short = [p for p in new if len(p) <= SHORT]
         found = dict(zip(short, self.short_segments(short), strict=True)) | {p: self.long_segment(p) for p in new if len(p) > SHORT}
-        # The library puts a blank mark in front of a text, so it is given a segment without its first one.
-        known = [p for p in found if p.startswith(BLANK) and len(p) > 1]
-        theirs = self.library.encode([p[1:].replace(BLANK, " ") for p in known], num_threads=1)
-        if [4 * len(x) for x in theirs] != [len(found[p]) for p in known] or np.fromiter(chain.from_iterable(theirs), np.int32).tobytes() != b"".join([found[p] for p in known]):
+        # The library puts a blank mark in front of a text: a segment is given without its own, or after a cut.
+        asked = [p[1:].replace(BLANK, " ") if p.startswith(BLANK) else self.cuts[0] + p for p in found if len(p) > 1]
+        theirs = self.library.encode(asked, num_threads=1)
+        ours = [found[p] if p.startswith(BLANK) else self.lead + found[p] for p in found if len(p) > 1]
+        if [4 * len(x) for x in theirs] != [len(x) for x in ours] or np.fromiter(chain.from_iterable(theirs), np.int32).tobytes() != b"".join(ours):
             raise ValueError("the agenda and the sentencepiece library disagree on ids")
         young.update(found)
 
@@ -192,7 +197,11 @@ class MergeCodec:
 
     def _split(self, text: str) -> list[str]:
         marked = BLANK + text.replace(" ", BLANK) if text else ""
-        return [marked] if self.crossing and marked else _SEGMENT.findall(marked)
+        return [marked] if self.crossing and marked else self.pattern.findall(marked)
+
+    def forget(self) -> None:
+        """Give back what was remembered, so that a worker that is used again starts small."""
+        self.young, self.old = {}, {}
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: pieces and bytes joined, the blank that encoding put in front removed."""
@@ -211,7 +220,7 @@ def round_trip(docs: DataFrame, model_file: str, keep_ids: bool = False) -> Data
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = codec(model_file)
-        for frame in row_pieces(frames, 4_000_000):
+        for frame in row_pieces(frames, 2_000_000):
             found = own.encode(frame["text"].fillna("").tolist())
             decoded = [own.decode(ids) for ids in found]
             if decoded != [own.library.decode(ids) for ids in found]:
@@ -226,5 +235,6 @@ def round_trip(docs: DataFrame, model_file: str, keep_ids: bool = False) -> Data
             if keep_ids:
                 out |= {"ids": found, "decoded": decoded}
             yield pd.DataFrame(out)
+        own.forget()
 
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
