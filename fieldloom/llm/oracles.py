@@ -103,7 +103,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), f AS ({_fo
          sum(length(gap) + length(match)) OVER (PARTITION BY doc_id, kind ORDER BY i) - length(match) AS start FROM f
 ), s AS (
   SELECT doc_id, kind, rank, start, start + length(match) AS fin,
-         score + CASE WHEN regexp_matches(lower(substring(text, CAST(greatest(start - 40, 0) + 1 AS BIGINT), CAST(least(start, 40) AS BIGINT))), context) THEN 0.1 ELSE 0 END AS score
+         score + CASE WHEN regexp_matches(lower(right(gap, 40)), context) THEN 0.1 ELSE 0 END AS score
   FROM p WHERE CASE kind {_sure} END
 ), g AS (
   SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k[0]}') AS n_{k[0]}" for k in _kinds)},

@@ -29,7 +29,7 @@ PATTERNS = {
 }
 #: A text without this has no match of the kind.
 HINTS = {"email": "@", "ip": ".", "phone": "+"}
-#: Words that raise the score of a kind when they stand within CONTEXT characters before a span.
+#: Words that raise the score of a kind when they stand within CONTEXT characters before a span, after the match before it.
 CONTEXT = 40
 CONTEXT_WORDS = {
     "email": "mail|contact|write|reply",
@@ -42,6 +42,9 @@ CONTEXT_WORDS = {
 SCORES = {"email": 0.8, "ip": 0.6, "card": 0.85, "phone": 0.6, "iban": 0.9}
 CONTEXT_SCORE = 0.1
 
+BLOCK = 256
+_SPANS = "array<struct<start:int,rank:int,end:int,kind:string,match:string,ahead:string>>"
+
 
 def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
@@ -82,25 +85,42 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _proposed(kind: str) -> Column:
-    """Matches of one kind as structs (start, rank, end, kind, match), confirmed or not."""
-    text, pattern = F.col("text"), PATTERNS[kind]
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    # Starts: lengths of all that lies before, summed along the row of pieces.
-    zipped = F.zip_with(F.slice(between, F.lit(1), F.size(matches)), matches, lambda b, m: F.struct(F.length(b).alias("gap"), F.length(m).alias("size"), m.alias("match")))
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
+def _placed(kind: str, zipped: Column) -> Column:
+    """Structs (start, rank, end, kind, match, ahead) of (gap, size, match, ahead): lengths of all that lies before are summed.
+
+    It goes in blocks, so that work grows with the number of matches and not with its square.
+    """
+    none = F.array().cast(_SPANS)
 
     def place(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + x["size"]).alias("end"), F.lit(kind).alias("kind"), x["match"].alias("match"))
+        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + x["size"]).alias("end"), F.lit(kind).alias("kind"), x["match"].alias("match"), x["ahead"].alias("ahead"))
         return F.struct((start + x["size"]).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    hint = F.contains(text, F.lit(HINTS[kind])) if kind in HINTS else F.lit(True)
-    return F.when(hint & text.rlike(pattern), F.aggregate(zipped, first, place, lambda acc: acc["spans"]))
+    def block(acc: Column, matches: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), none.alias("spans"))
+        return F.aggregate(matches, start, place, lambda x: F.struct(x["at"].alias("at"), F.concat(acc["blocks"], F.array(x["spans"])).alias("blocks")))
+
+    blocks = F.transform(F.sequence(F.lit(1), F.size(zipped), F.lit(BLOCK)), lambda i: F.slice(zipped, i, F.lit(BLOCK)))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("blocks"))
+    return F.aggregate(blocks, first, block, lambda acc: F.flatten(acc["blocks"]))
+
+
+def _located(docs: DataFrame) -> DataFrame:
+    """docs with pii_text and, for each kind, pii_<kind>: its confirmed spans. One step a projection, so nothing runs twice."""
+    out = docs.select("*", text_or_empty().alias("pii_text"))
+    hint = lambda k: F.contains("pii_text", F.lit(HINTS[k])) if k in HINTS else F.lit(True)
+    out = out.select("*", *[F.when(hint(k), F.regexp_extract_all("pii_text", F.lit(PATTERNS[k]), F.lit(0))).alias(f"pii_m_{k}") for k in KINDS])
 
+    def zipped(k: str) -> Column:
+        matches = F.col(f"pii_m_{k}")
+        between = F.slice(F.split("pii_text", PATTERNS[k], -1), F.lit(1), F.size(matches))
+        pairs = F.zip_with(between, matches, lambda b, m: F.struct(F.length(b).alias("gap"), F.length(m).alias("size"), m.alias("match"), F.right(b, F.lit(CONTEXT)).alias("ahead")))
+        return F.when(F.size(matches) > 0, pairs)
 
-_SPANS = "array<struct<start:int,rank:int,end:int,kind:string,match:string>>"
+    out = out.select("*", *[zipped(k).alias(f"pii_z_{k}") for k in KINDS])
+    spans_ = [F.when(F.size(f"pii_z_{k}") > 0, _placed(k, F.col(f"pii_z_{k}"))) for k in KINDS]
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "pii_text", *[_sure(k, x).alias(f"pii_{k}") for k, x in zip(KINDS, spans_, strict=True)])
 
 
 def _sure(kind: str, proposed: Column) -> Column:
@@ -108,21 +128,18 @@ def _sure(kind: str, proposed: Column) -> Column:
 
 
 def _scored(x: Column) -> Column:
-    ahead = F.substring(F.col("text"), F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1, F.least(x["start"], F.lit(CONTEXT)))
     named = F.lit(False)
     base = F.lit(0.0)
     for kind in KINDS:
-        named = F.when(x["kind"] == kind, F.lower(ahead).rlike(rf"(?:^|[^a-z0-9])(?:{CONTEXT_WORDS[kind]})")).otherwise(named)
+        named = F.when(x["kind"] == kind, F.lower(x["ahead"]).rlike(rf"(?:^|[^a-z0-9])(?:{CONTEXT_WORDS[kind]})")).otherwise(named)
         base = F.when(x["kind"] == kind, F.lit(SCORES[kind])).otherwise(base)
     return F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind"), F.round(base + F.when(named, CONTEXT_SCORE).otherwise(0.0), 2).alias("score"))
 
 
 def spans(docs: DataFrame) -> DataFrame:
     """doc_id and spans: an array of (start, rank, end, kind, score), by start and then kind, per row of docs."""
-    found = docs.select("doc_id", text_or_empty().alias("text"))
-    found = found.select("doc_id", "text", *[_proposed(k).alias(k) for k in KINDS])
-    sure = [_sure(k, F.col(k)) for k in KINDS]
-    return found.select("doc_id", "text", F.concat(*sure).alias("found")).select("doc_id", F.array_sort(F.transform("found", _scored)).alias("spans"))
+    found = F.concat(*[F.col(f"pii_{k}") for k in KINDS])
+    return _located(docs.select("doc_id", "text")).select("doc_id", F.array_sort(F.transform(found, _scored)).alias("spans"))
 
 
 def _printed(spans_: Column) -> Column:
@@ -142,10 +159,9 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """docs with every span of at least that score replaced by its kind in angle brackets; overlapping spans as one."""
-    text = text_or_empty()
-    scored = docs.select("*", *[_proposed(k).alias(f"_pii_{k}") for k in KINDS])
-    sure = [_sure(k, F.col(f"_pii_{k}")) for k in KINDS]
-    kept = F.filter(F.array_sort(F.transform(F.concat(*sure), _scored)), lambda x: x["score"] >= least_score)
+    text = F.col("pii_text")
+    scored = _located(docs)
+    kept = F.filter(F.array_sort(F.transform(F.concat(*[F.col(f"pii_{k}") for k in KINDS]), _scored)), lambda x: x["score"] >= least_score)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def cut(acc: Column, x: Column) -> Column:
@@ -153,5 +169,6 @@ def redact(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
         out = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit("<"), x["kind"], F.lit(">"))
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(fresh, out).otherwise(acc["out"]).alias("out"))
 
+    # The text is put together from left to right.
     clean = F.aggregate(kept, start, cut, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     return scored.select(*[F.when(F.col("text").isNotNull(), clean).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
