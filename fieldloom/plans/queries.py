@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import text as X
-from fieldloom.operators import aggregates, columns, filters, joins, mapping, nested, sampling, sets, trees, windows
+from fieldloom.operators import aggregates, columns, filters, html, joins, mapping, nested, records, sampling, sets, trees, windows
 from fieldloom.operators.columns import q
 from fieldloom.operators.storage import shared_folder
 from fieldloom.plans import checklists, genomes, occurrences
@@ -736,3 +736,101 @@ SELECT s_suppkey AS key, coalesce(nullif(s_name, 'none'), 'sp. {' || s_nationkey
 def cluster_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "supplier").select(q("s_suppkey").alias("key"), q("s_name").alias("species"), q("s_nationkey").cast("string").alias("bold_bin_uri"))
     return genomes.bold_augment(rows, "host/")
+
+
+# ---- records and tables made of the test tables ----
+
+
+@query("""
+SELECT o_orderkey, 'O' || o_orderkey AS locus, CAST(o_custkey AS VARCHAR) AS basepairs, 'status ' || o_orderstatus || ' and priority.' AS definition, 'A' || o_orderkey AS accession,
+       'A' || o_orderkey || '.1' AS version, '' AS keywords, 'Aus c' || o_custkey AS organism, 'X; Y' AS classification, '1 to ' || o_custkey AS range
+FROM orders
+""")
+def record_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flat sequence record made of each order, parsed again."""
+    text = F.concat(
+        F.lit("LOCUS       O"), "o_orderkey", F.lit(" "), "o_custkey", F.lit(" bp DNA linear PLN 01-JAN-2000\nDEFINITION  status "), "o_orderstatus",
+        F.lit("\n            and priority.\nACCESSION   A"), "o_orderkey", F.lit("\nVERSION     A"), "o_orderkey", F.lit(".1\nKEYWORDS    .\nSOURCE      Aus\n  ORGANISM  Aus c"), "o_custkey",
+        F.lit("\n            X;\n            Y.\nREFERENCE   1  (bases 1 to "), "o_custkey", F.lit(")\n  AUTHORS   A.\nORIGIN"),
+    )
+    raw = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("record")).withColumn("sections", F.split("record", r"\n(?=\S)"))
+    found = records.parse_references(records.parse_record_header(raw))
+    return found.select("o_orderkey", "locus", "basepairs", "definition", "accession", "version", "keywords", "organism", "classification", F.col("references")[0]["range"].alias("range"))
+
+
+def _customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each nation with a table of its customers."""
+    row = F.concat(F.lit("<tr><td>"), "c_name", F.lit("</td><td><b>"), "c_mktsegment", F.lit("</b></td></tr>"))
+    rows = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
+    return rows.select("c_nationkey", F.concat(F.lit("<h2>Nation</h2><table><tr><th>Name</th><th>Segment</th></tr>"), "rows", F.lit("</table>")).alias("html"))
+
+
+@query("""
+SELECT c_nationkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_name, c_mktsegment) - 1 AS INT) AS row_no, c_name AS name, c_mktsegment AS segment FROM customer
+""")
+def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = html.html_table_with_link(_customer_pages(spark, sf_dir), "c_nationkey", "html", "Nation")
+    return html.cells_to_columns(cells, {"name": "Name", "segment": "Segment"})
+
+
+@query("SELECT c_custkey, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation FROM customer")
+def html_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key/value rows of a page made of each customer."""
+    page = F.concat(F.lit("<table><tr><th>Name:</th><td>"), "c_name", F.lit("<br></td></tr><tr><th>No</th><td>x</td></tr><tr><th>Nation</th>\n<td><a href='#'>"), "c_nationkey", F.lit("</a></td></tr></table>"))
+    found = nested.html_kv(table(spark, sf_dir, "customer").select("c_custkey", page.alias("html")), "c_custkey", "html", ["No"])
+    return found.select("c_custkey", F.try_element_at("values", F.lit("Name:")).alias("name"), F.try_element_at("values", F.lit("Nation")).alias("nation"))
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.value_counts(table(spark, sf_dir, "events"), "event_type")
+
+
+@query("""
+SELECT l_orderkey, count(*) FILTER (l_returnflag = 'R') AS returned, (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS all_returned FROM lineitem GROUP BY l_orderkey
+""")
+def array_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_returnflag", "l_linenumber")).alias("items"))
+    kept = filters.filter_array(lists, "items", "l_returnflag", "R")
+    total = aggregates.count_elements(kept, "items").first()["n"]  # one number
+    return kept.select("l_orderkey", F.size("items").cast("long").alias("returned"), F.lit(total).alias("all_returned"))
+
+
+@query("""
+SELECT doc_id, lang, quality, CASE WHEN toxic = 1 THEN 'toxic' WHEN toxic = 0 THEN 'clean' END AS verdict, nullif(source, 'src1') AS source
+FROM documents LEFT JOIN labels USING (doc_id)
+""")
+def enrich_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").withColumn("verdict", F.when(q("toxic") == 1, "toxic").otherwise("clean"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", X.null_if("source", "src1").alias("source"))
+    return joins.enrich_lookup(docs, labels, "doc_id", "doc_id", ["quality", "verdict"]).select("doc_id", "lang", "quality", "verdict", "source")
+
+
+@query("""
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')) AND NOT coalesce(c_acctbal < 0, false)
+""")
+def select_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filters.select_any(table(spark, sf_dir, "customer"), "c_mktsegment", ["BUILDING", "MACHINERY"])
+    return filters.drop_where(found, q("c_acctbal") < 0).select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("""
+SELECT c_custkey AS "display_name", c_name, o_orderkey AS "#name", o_orderstatus FROM customer FULL JOIN orders ON c_custkey = o_orderkey
+""")
+def outer_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that only the right table has, joined by differently named keys; all rows of both sides."""
+    left = table(spark, sf_dir, "customer").select(q("c_custkey").alias("display_name"), "c_name")
+    right = table(spark, sf_dir, "orders").select(q("o_orderkey").alias("#name"), "o_orderstatus")
+    return genomes.ensembl_combine(left, right.withColumn("c_name", F.lit("theirs")))
+
+
+@query("""
+SELECT l_orderkey, l_suppkey, string_agg(l_partkey, ',' ORDER BY l_partkey) AS parts, 'CRX' || l_suppkey AS experiment
+FROM (SELECT DISTINCT l_orderkey, l_suppkey, l_partkey FROM lineitem) GROUP BY l_orderkey, l_suppkey
+""")
+def archive_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.concat(F.lit("u/PRJCA"), "l_orderkey", F.lit("/CRX"), "l_suppkey", F.lit("/"), "l_partkey", F.lit(".gz"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", url.alias("url")).distinct()
+    paths = nested.path_to_columns(rows, "url", genomes.ARCHIVE_PREFIXES).withColumn("part", X.split_part("file_name", ".").cast("long"))
+    lists = paths.groupBy("l_orderkey", "l_suppkey", "experiment").agg(F.array_sort(F.collect_list("part")).alias("p"))
+    return lists.select("l_orderkey", "l_suppkey", F.array_join(F.transform("p", lambda x: x.cast("string")), ",").alias("parts"), "experiment")
