@@ -37,7 +37,8 @@ def metadata(docs: DataFrame) -> DataFrame:
                        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"))
     rows = materialise(rows, "rows")
     text = rows.groupBy("text_hash", "size").agg(F.min(F.struct("doc_id", "lang", "source")).alias("m"))
-    text = text.select(F.col("text_hash").alias("_hash"), F.col("size").alias("_size"), F.col("m.lang").alias("_lang"), F.col("m.source").alias("_source"))
+    # Written first: rows then meet it in a plain join, whose partitions Spark can split where one text fills many rows.
+    text = materialise(text.select(F.col("text_hash").alias("_hash"), F.col("size").alias("_size"), F.col("m.lang").alias("_lang"), F.col("m.source").alias("_source")), "texts")
     joined = rows.join(text, (F.col("text_hash") == F.col("_hash")) & (F.col("size") == F.col("_size")))
     sixteen = (1 << 16) - 1
     name = lambda c: F.shiftright(F.crc32(F.coalesce(F.col(c), F.lit("")).cast("binary")), 16)
