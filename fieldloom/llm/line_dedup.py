@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import is_empty, materialise, row_pieces
+from fieldloom.llm.common import materialise, row_pieces, with_global_rank
 
 LONG = 8
 _LINE = "doc_id long, line_no int, n_words int, h1 long, h2 long, halves array<long>"
@@ -95,7 +95,7 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
 
 
 def _survivors(docs: DataFrame, first: DataFrame) -> DataFrame:
-    """h1, h2, doc_id, line_no, line of the distinct long lines that share a half with another."""
+    """h1, h2, doc_id, line_no, line of the distinct long lines that share a half with another, and place: their order."""
     long = first.filter(F.col("halves").isNotNull())
     halves = materialise(long.select("h1", "h2", "doc_id", "line_no", F.explode(F.array_distinct("halves")).alias("half")), "halves")
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half")
@@ -117,59 +117,54 @@ def _survivors(docs: DataFrame, first: DataFrame) -> DataFrame:
             yield out
 
     read = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    return materialise(read.mapInPandas(run, "h1 long, h2 long, doc_id long, line_no int, line string").dropDuplicates(["h1", "h2"]), "survivors")
+    found = read.mapInPandas(run, "h1 long, h2 long, doc_id long, line_no int, line string").dropDuplicates(["h1", "h2"])
+    return materialise(with_global_rank(found, [F.col("doc_id").asc_nulls_last(), F.col("line_no")], "placed", "place"), "survivors")
 
 
 def _variant_keys(survivors: DataFrame) -> DataFrame:
-    """key, role (0 replaced at a place, 1 the line itself, 2 a word left out), h1, h2, doc_id, line_no."""
+    """key, role (0 replaced at a place, 1 the line itself, 2 a word left out), place."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in row_pieces(frames, 400_000, "line"):
             keys, roles, at = [], [], []
-            for k, line in enumerate(frame["line"]):
+            for place, line in zip(frame["place"], frame["line"], strict=True):
                 whole, without = variants(line.encode().split())
                 n = len(without)
                 keys += [_mixed(without, np.arange(1, n + 1)), without, np.array([whole])]
                 roles += [np.zeros(n, np.int8), np.full(n, 2, np.int8), np.ones(1, np.int8)]
-                at.append(np.full(2 * n + 1, k))
+                at.append(np.full(2 * n + 1, place, np.int64))
             if keys:
-                rows = frame.iloc[np.concatenate(at)].drop(columns="line").reset_index(drop=True)
-                yield rows.assign(key=np.concatenate(keys).view(np.int64), role=np.concatenate(roles))[["key", "role", "h1", "h2", "doc_id", "line_no"]]
+                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "role": np.concatenate(roles), "place": np.concatenate(at)})
 
-    return survivors.mapInPandas(run, "key long, role byte, h1 long, h2 long, doc_id long, line_no int")
+    return survivors.select("place", "line").mapInPandas(run, "key long, role byte, place long")
 
 
-def _order(doc: str = "doc_id", line: str = "line_no"):
-    return F.struct(F.col(doc).isNull().alias("unknown"), F.col(doc).alias("doc_id"), F.col(line).alias("line_no"))
+def _order():
+    return F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("doc_id"), F.col("line_no").alias("line_no"))
 
 
 def near_ties(docs: DataFrame, first: DataFrame) -> DataFrame:
     """h1, h2, near_doc_id, near_line_no: each distinct line with an earlier one within the bound, and the earliest such."""
     survivors = _survivors(docs, first)
-    keys = materialise(_variant_keys(survivors).distinct(), "variants")
-    replaced = keys.filter("role = 0")
-    firsts = replaced.groupBy("key").agg(F.min(F.struct(_order().alias("o"), "h1", "h2")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    own = keys.filter("role = 1").select("key", F.col("h1").alias("g1"), F.col("h2").alias("g2")).distinct()
-    ties = replaced.join(firsts.select("key", F.col("f.h1").alias("g1"), F.col("f.h2").alias("g2")), "key").select("h1", "h2", "g1", "g2")
-    ties = ties.unionByName(keys.filter("role = 2").join(own, "key").select("h1", "h2", "g1", "g2"))
-    ties = ties.filter("h1 <> g1 or h2 <> g2").distinct()
-    left = survivors.select("h1", "h2", F.col("line").alias("line_a"), _order().alias("at_a"))
-    right = survivors.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("line").alias("line_b"), _order().alias("at_b"))
+    keys = materialise(_variant_keys(survivors), "variants")
+    replaced = keys.filter("role = 0").select("key", "place")
+    firsts = replaced.groupBy("key").agg(F.min("place").alias("other"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "other")
+    whole = keys.filter("role = 1").select("key", F.col("place").alias("other"))
+    ties = replaced.join(firsts, "key").unionByName(keys.filter("role = 2").select("key", "place").join(whole, "key"))
+    ties = ties.filter("place <> other").select(F.greatest("place", "other").alias("place"), F.least("place", "other").alias("other")).distinct()
+    lines_ = survivors.select("place", F.col("line").alias("line_a"))
+    others = survivors.select(F.col("place").alias("other"), F.col("line").alias("line_b"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             ok = [within_one(a.encode().split(), b.encode().split()) for a, b in zip(frame["line_a"], frame["line_b"], strict=True)]
-            yield frame.loc[ok, ["h1", "h2", "g1", "g2", "a_doc", "a_line", "b_doc", "b_line"]]
-
-    both = ties.join(left, ["h1", "h2"]).join(right, ["g1", "g2"])
-    both = both.select("h1", "h2", "g1", "g2", "line_a", "line_b", *[F.col(f"at_{s}.{f}").alias(f"{s}_{g}") for s in "ab" for f, g in (("doc_id", "doc"), ("line_no", "line"))])
-    sound = both.mapInPandas(run, "h1 long, h2 long, g1 long, g2 long, a_doc long, a_line int, b_doc long, b_line int")
-    a, b = _order("a_doc", "a_line"), _order("b_doc", "b_line")
-    later = sound.select(
-        F.when(a > b, F.col("h1")).otherwise(F.col("g1")).alias("h1"), F.when(a > b, F.col("h2")).otherwise(F.col("g2")).alias("h2"), F.least(a, b).alias("o")
-    )
-    near = later.groupBy("h1", "h2").agg(F.min("o").alias("o"))
-    return materialise(near.select("h1", "h2", F.col("o.doc_id").alias("near_doc_id"), F.col("o.line_no").alias("near_line_no")), "near")
+            yield frame.loc[ok, ["place", "other"]]
+
+    sound = ties.join(lines_, "place").join(others, "other").select("place", "other", "line_a", "line_b").mapInPandas(run, "place long, other long")
+    earliest = sound.groupBy("place").agg(F.min("other").alias("other"))
+    where = survivors.select(F.col("place").alias("other"), F.col("doc_id").alias("near_doc_id"), F.col("line_no").alias("near_line_no"))
+    near = earliest.join(survivors.select("place", "h1", "h2"), "place").join(where, "other")
+    return materialise(near.select("h1", "h2", "near_doc_id", "near_line_no"), "near")
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
