@@ -6,7 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +74,15 @@ def row_pieces(frames: Iterator[pd.DataFrame], max_chars: int = 8_000_000, colum
         lengths = frame[column].str.len().fillna(0).cumsum()
         for _, piece in frame.groupby((lengths // max_chars).astype("int64"), sort=False):
             yield piece
+
+
+def arrow_pieces(batches: Iterator[pa.RecordBatch], max_bytes: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of bounded text; nothing is copied until a slice's values are asked for."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = sizes[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(sizes, before + max_bytes, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop

@@ -22,14 +22,14 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fieldloom.llm.common import row_pieces
+from fieldloom.llm.common import arrow_pieces
 
 BLANK = "▁"
 #: Distinct segments in each of a worker's two generations; only speed depends on it.
-REMEMBERED = 150_000
+REMEMBERED = 120_000
 #: Segments up to this many characters are worked off together.
 SHORT = 32
 _NEVER = -np.inf
@@ -218,23 +218,23 @@ def round_trip(docs: DataFrame, model_file: str, keep_ids: bool = False) -> Data
     """Per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256, and with keep_ids the ids and the decoded text."""
     more = ", ids array<int>, decoded string" if keep_ids else ""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_file)
-        for frame in row_pieces(frames, 2_000_000):
-            found = own.encode(frame["text"].fillna("").tolist())
+        for batch in arrow_pieces(batches, 2_000_000):
+            found = own.encode([t or "" for t in batch.column("text").to_pylist()])
             decoded = [own.decode(ids) for ids in found]
             if decoded != [own.library.decode(ids) for ids in found]:
                 raise ValueError("the codec and the sentencepiece library disagree on decoded texts")
             printed = own.printed
             out = {
-                "doc_id": frame["doc_id"].array,
-                "n_tokens": [len(ids) for ids in found],
-                "ids_sha256": [hashlib.sha256(" ".join([printed[i] for i in ids]).encode()).hexdigest() for ids in found],
-                "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for d in decoded],
+                "doc_id": batch.column("doc_id").cast(pa.int64()),
+                "n_tokens": pa.array([len(ids) for ids in found], pa.int64()),
+                "ids_sha256": pa.array([hashlib.sha256(" ".join([printed[i] for i in ids]).encode()).hexdigest() for ids in found], pa.string()),
+                "decoded_sha256": pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string()),
             }
             if keep_ids:
-                out |= {"ids": found, "decoded": decoded}
-            yield pd.DataFrame(out)
+                out |= {"ids": pa.array(found, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
+            yield pa.RecordBatch.from_pydict(out)
         own.forget()
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
