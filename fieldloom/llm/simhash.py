@@ -93,6 +93,15 @@ def _near(fps: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray) -> n
     return ok[np.bitwise_count(fps[i[ok]] ^ fps[j[ok]]) <= BOUND]
 
 
+def _rooted(label: np.ndarray) -> np.ndarray:
+    """Labels that name roots alone."""
+    while True:
+        up = label[label]
+        if (up == label).all():
+            return label
+        label = up
+
+
 def group_links(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links that hold the components of one group together: at most one for each member."""
     order = np.argsort(pivot_distances(fps)[:, 0], kind="stable")
@@ -111,16 +120,13 @@ def group_links(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         open_ = np.nonzero(label[i] != label[j])[0]
         hit = open_[_near(fps, table, i[open_], j[open_])]
         i, j = i[hit], j[hit]
-        while len(i):  # smallest label wins
-            low = np.minimum(label[i], label[j])
-            np.minimum.at(label, label[i], low)
-            np.minimum.at(label, label[j], low)
-            label = label[label]
+        while len(i):  # smallest label wins; labels are roots, so no link is overwritten
+            a, b = label[i], label[j]
+            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+            label = _rooted(label)
             keep = label[i] != label[j]
             i, j = i[keep], j[keep]
         start = stop
-    while (label[label] != label).any():
-        label = label[label]
     moved = np.nonzero(label != np.arange(len(fps)))[0]
     return fps[moved], fps[label[moved]]
 

@@ -77,6 +77,34 @@ def test_group_links(dense):
     assert same_classes(dense, zip(a.view(np.int64).tolist(), b.view(np.int64).tolist(), strict=True), classes(dense.view(np.int64), range(len(dense))))
 
 
+def parted(fps, pairs):
+    """Class of each fingerprint under the pairs (of numbers of fingerprints), by union-find."""
+    up = list(range(len(fps)))
+
+    def root(x):
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((root(a), root(b)))
+        up[b] = a
+    return [root(x) for x in range(len(fps))]
+
+
+@pytest.mark.parametrize("chains, length", [(1, 10), (60, 50), (1, 3000)])
+def test_group_links_on_shuffled_chains(chains, length):
+    """Chains whose members are four bits from the next one alone, in any order."""
+    rng = np.random.default_rng(chains)
+    steps = np.array([[np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, 4, replace=False).astype(np.uint64)) for _ in range(length)] for _ in range(chains)])
+    fps = np.unique(np.bitwise_xor.accumulate(steps ^ np.where(np.arange(length) == 0, rng.integers(0, 1 << 64, (chains, 1), dtype=np.uint64), np.uint64(0)), axis=1))
+    rng.shuffle(fps)
+    near = [(k, int(m)) for k in range(len(fps)) for m in np.nonzero(np.bitwise_count(fps[k] ^ fps[k + 1 :]) <= 4)[0] + k + 1]
+    at = {f: k for k, f in enumerate(fps.tolist())}
+    a, b = simhash.group_links(fps)
+    assert parted(fps, [(at[x], at[y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)]) == parted(fps, near)
+
+
 @pytest.mark.parametrize("options", [{}, {"hot": 4}, {"blocks": 8, "hot": 3}])
 def test_hot_groups_lose_no_link(spark, dense, options):
     df = spark.createDataFrame([(int(f),) for f in dense.view(np.int64)], "fp long")
