@@ -13,7 +13,8 @@ Only lines that can have a partner emit variants: an edit leaves the front or th
 line whose halves occur nowhere else has none. That drops nothing and keeps the deletion keys to a few per cent.
 
 Defined results: null text has one line without words; lines without words are kept and never compared; repeated rows of
-one doc_id share their verdict; rows without doc_id come last in the order; an empty table gives an empty result; extra
+one doc_id share their verdict; different texts without doc_id or of one doc_id lose their own lines alone; rows without
+doc_id come last in the order; an empty table gives an empty result; extra
 columns are carried by ``deduplicate``.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from fieldloom.llm.common import materialise, row_pieces, with_global_rank
 
 LONG = 8
-_LINE = "doc_id long, line_no int, n_words int, h1 long, h2 long, halves array<long>"
+_LINE = "doc_id long, text_hash long, line_no int, n_words int, h1 long, h2 long, halves array<long>"
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
 
@@ -50,22 +51,22 @@ def _halves(words: list[bytes]) -> list[int]:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, n_words, h1, h2, halves: one row per line of docs; halves for long lines alone."""
+    """doc_id, text_hash, line_no, n_words, h1, h2, halves: one row per line of docs; halves for long lines alone."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in row_pieces(frames):
             rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"].fillna(""), strict=True):
+            for doc_id, text_hash, text in zip(frame["doc_id"], frame["text_hash"], frame["text"].fillna(""), strict=True):
                 for no, line in enumerate(text.encode().split(b"\n")):
                     words = line.split()
                     joined = b" ".join(words)
                     h = xxhash.xxh128_intdigest(joined)
-                    rows.append((doc_id, no, len(words), _signed(h >> 64), _signed(h & (1 << 64) - 1), _halves(words) if len(words) >= LONG else None))
-            out = pd.DataFrame(rows, columns=["doc_id", "line_no", "n_words", "h1", "h2", "halves"])
+                    rows.append((doc_id, text_hash, no, len(words), _signed(h >> 64), _signed(h & (1 << 64) - 1), _halves(words) if len(words) >= LONG else None))
+            out = pd.DataFrame(rows, columns=["doc_id", "text_hash", "line_no", "n_words", "h1", "h2", "halves"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
-    return docs.select("doc_id", "text").mapInPandas(run, _LINE)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, _LINE)
 
 
 def variants(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,10 +98,10 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
 def _survivors(docs: DataFrame, first: DataFrame) -> DataFrame:
     """h1, h2, doc_id, line_no, line of the distinct long lines that share a half with another, and place: their order."""
     long = first.filter(F.col("halves").isNotNull())
-    halves = materialise(long.select("h1", "h2", "doc_id", "line_no", F.explode(F.array_distinct("halves")).alias("half")), "halves")
+    halves = materialise(long.select("h1", "h2", "doc_id", "text_hash", "line_no", F.explode(F.array_distinct("halves")).alias("half")), "halves")
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half")
-    alive = halves.join(shared, "half", "left_semi").select("h1", "h2", "doc_id", "line_no").distinct()
-    by_doc = materialise(alive.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h1", "h2")).alias("alive")), "alive").withColumnRenamed("doc_id", "_id")
+    alive = halves.join(shared, "half", "left_semi").select("h1", "h2", "doc_id", "text_hash", "line_no").distinct()
+    by_doc = materialise(alive.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "h1", "h2")).alias("alive")), "alive").toDF("_id", "_hash", "alive")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in row_pieces(frames):
@@ -116,7 +117,7 @@ def _survivors(docs: DataFrame, first: DataFrame) -> DataFrame:
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
-    read = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    read = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))).drop("_id", "_hash")
     found = read.mapInPandas(run, "h1 long, h2 long, doc_id long, line_no int, line string").dropDuplicates(["h1", "h2"])
     return materialise(with_global_rank(found, [F.col("doc_id").asc_nulls_last(), F.col("line_no")], "placed", "place"), "survivors")
 
@@ -167,12 +168,12 @@ def near_ties(docs: DataFrame, first: DataFrame) -> DataFrame:
     return materialise(near.select("h1", "h2", "near_doc_id", "near_line_no"), "near")
 
 
-def verdicts(docs: DataFrame) -> DataFrame:
-    """Per line: doc_id, line_no, n_words, kept, reason (null, 'same', 'near'), keep_doc_id, keep_line_no."""
+def _verdicts(docs: DataFrame) -> DataFrame:
+    """The columns of verdicts, and text_hash: doc_id and text_hash tell whose line it is where rows have no doc_id or share one."""
     found = materialise(lines(docs), "lines")
     worded = found.filter("n_words > 0")
-    first = worded.groupBy("h1", "h2").agg(F.min(F.struct(_order().alias("o"), "halves")).alias("f"))
-    first = materialise(first.select("h1", "h2", F.col("f.o.doc_id").alias("doc_id"), F.col("f.o.line_no").alias("line_no"), F.col("f.halves").alias("halves")), "first")
+    first = worded.groupBy("h1", "h2").agg(F.min(F.struct(_order().alias("o"), "text_hash", "halves")).alias("f"))
+    first = materialise(first.select("h1", "h2", F.col("f.o.doc_id").alias("doc_id"), F.col("f.o.line_no").alias("line_no"), F.col("f.text_hash").alias("text_hash"), F.col("f.halves").alias("halves")), "first")
     near = near_ties(docs, first)
     keep = first.select("h1", "h2", F.col("doc_id").alias("first_doc"), F.col("line_no").alias("first_line")).join(near, ["h1", "h2"], "left")
     told = materialise(keep, "told").withColumnRenamed("h1", "k1").withColumnRenamed("h2", "k2")
@@ -182,16 +183,21 @@ def verdicts(docs: DataFrame) -> DataFrame:
     reason = F.when(F.col("n_words") == 0, None).when(~at_first, F.lit("same")).when(near_known, F.lit("near"))
     out = out.withColumn("reason", reason)
     return out.select(
-        "doc_id", "line_no", "n_words", F.col("reason").isNull().alias("kept"), "reason",
+        "doc_id", "text_hash", "line_no", "n_words", F.col("reason").isNull().alias("kept"), "reason",
         F.when(F.col("reason") == "same", F.col("first_doc")).when(F.col("reason") == "near", F.col("near_doc_id")).otherwise(F.col("doc_id")).alias("keep_doc_id"),
         F.when(F.col("reason") == "same", F.col("first_line")).when(F.col("reason") == "near", F.col("near_line_no")).otherwise(F.col("line_no")).alias("keep_line_no"),
     )
 
 
+def verdicts(docs: DataFrame) -> DataFrame:
+    """Per line: doc_id, line_no, n_words, kept, reason (null, 'same', 'near'), keep_doc_id, keep_line_no."""
+    return _verdicts(docs).drop("text_hash")
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs with the lines that go cut out of their texts; documents that lose no line are as they were."""
-    gone = verdicts(docs).filter("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("gone_lines")).withColumnRenamed("doc_id", "gone_id")
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
+    gone = _verdicts(docs).filter("not kept").groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("gone_lines")).toDF("gone_id", "gone_hash", "gone_lines")
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_hash")), "left")
     rest = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("gone_lines", i))
     text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])

@@ -60,6 +60,23 @@ def test_deduplicate(odd, none):
     assert line_dedup.deduplicate(none).count() == 0
 
 
+def test_texts_that_share_an_id_lose_their_own_lines(spark):
+    """A line that goes from one text stays in the others without doc_id or of the same doc_id."""
+    again = "a line that stands in the first document and goes elsewhere"
+    rows = [(1, again)] + [(doc_id, f"head {k}\n{again if k % 2 else f'clean {k}'}") for k in range(6) for doc_id in (None, 7)]
+    df = spark.createDataFrame(rows[:1] + [(d, t.replace("head", f"head of {d}").replace("clean", f"clean of {d}")) for d, t in rows[1:]], "doc_id long, text string")
+    out = {r.text for r in line_dedup.deduplicate(df).collect()}
+    assert out == {again} | {f"head of {d} {k}" + ("" if k % 2 else f"\nclean of {d} {k}") for k in range(6) for d in (None, 7)}
+
+
+def test_survivors_join_each_text_to_its_own_lines(spark):
+    """Texts without doc_id bring their own lines alone, not those of all of them."""
+    text = "{0} one two three four five six seven {0} nine ten eleven twelve"
+    df = spark.createDataFrame([(None, text.format(f"w{k}")) for k in range(40)] + [(None, text.format(f"w{k}") + " more") for k in range(40)], "doc_id long, text string")
+    assert line_dedup._verdicts(df).select("text_hash").distinct().count() == 80
+    assert line_dedup.verdicts(df).filter("reason = 'near'").count() == 40
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
