@@ -4,8 +4,8 @@ Texts are counted as hashed two- and three-byte windows of their letters. A line
 family every pair of languages has a linear support vector machine, and the language with the most won pairs (summed
 margins decide ties) is predicted. The score is the family's probability times the mean probability of the won pairs.
 
-Fitting takes a bounded sample: about ``PER_LANGUAGE`` texts of each language, chosen by a hash of doc_id; everything else
-covers all texts whole. Defined results: null text and text without a letter are ``und`` with score 0 (as is everything
+Fitting takes a bounded sample: at most ``PER_LANGUAGE`` texts of every language (``SAMPLE`` of all together), chosen by a
+hash of doc_id and text, repeated rows once; everything else covers all texts whole. Defined results: null text and text without a letter are ``und`` with score 0 (as is everything
 when nothing can be learned); rows with null lang are never learned from; very long texts are counted in pieces;
 repeated rows give repeated rows; an empty table gives an empty result; other columns are ignored by ``predict`` and
 carried by ``keep_known``.
@@ -19,15 +19,15 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldloom.llm.common import row_pieces
 
 BITS = 12
 PER_LANGUAGE = 500
-#: Languages learned at most (the most frequent ones); bounds the sample.
-LANGUAGES = 64
+#: Texts learned from at most; with many languages each gets an equal part of them, one text at least.
+SAMPLE = 32_000
 UNKNOWN = "und"
 #: Families of language codes; a code that is not listed is a family of its own.
 FAMILIES = {
@@ -120,22 +120,25 @@ class Model:
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
-    """A model from about per_language texts of each language, of rows that are not held out; None without such rows."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    """A model from at most per_language texts of each language, of rows that are not held out; None without such rows."""
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).withColumn("place", F.xxhash64("doc_id", "text"))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).orderBy("lang").collect()  # one row per language
     if not counts:
         return None
-    share = F.element_at(F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, per_language / r["count"]))]), F.col("lang"))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    sample = known.filter(place < share).select("doc_id", "lang", "text")
+    per_language = max(1, min(per_language, SAMPLE // len(counts)))
+    # Rows well over the bound go on, so that texts without letters leave enough; the window below keeps to the bound.
+    share = F.element_at(F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, (2 * per_language + 50) / max(r["n"], 1)))]), F.col("lang"))
+    sample = known.filter(F.pmod("place", F.lit(1 << 20)) / float(1 << 20) < share).select("doc_id", "lang", "text", "place").dropDuplicates(["lang", "place"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in row_pieces(frames):
             ok = frame["text"].str.contains(_LETTER)
             frame = frame[ok]
-            yield pd.DataFrame({"doc_id": frame["doc_id"].array, "lang": frame["lang"].array, "x": [features(t).astype(np.float16).tobytes() for t in frame["text"]]})
+            yield pd.DataFrame({"doc_id": frame["doc_id"].array, "lang": frame["lang"].array, "place": frame["place"].array, "x": [features(t).astype(np.float16).tobytes() for t in frame["text"]]})
 
-    rows = sample.mapInPandas(run, "doc_id long, lang string, x binary").limit(2 * per_language * len(counts)).toPandas()
+    found = sample.mapInPandas(run, "doc_id long, lang string, place long, x binary")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("place", F.lit(1 << 20)), "place"))
+    rows = found.withColumn("nth", nth).filter(F.col("nth") <= per_language).drop("nth", "place").toPandas()
     if rows.empty:
         return None
     rows = rows.sort_values(["lang", "doc_id", "x"])

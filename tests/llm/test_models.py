@@ -31,6 +31,20 @@ def test_language_odd_cases(odd, none):
     assert {r.lang_pred for r in language_id.predict(odd, None).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    rows = [(None, f"wort{chr(97 + k % 26)}{chr(97 + k // 26)} " * 5 + str(i), f"x{k:02}") for k in range(70) for i in range(2)]
+    assert language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == [f"x{k:02}" for k in range(70)]
+
+
+def test_rows_without_doc_id_crowd_no_language_out(spark, monkeypatch):
+    rows = [(None, f"text a{i} of many", "aa") for i in range(2000)] + [(None, f"andere b{i} worte", "bb") for i in range(10)]
+    seen = []
+    monkeypatch.setattr(language_id, "Model", lambda x, lang: seen.append((x, list(lang))))
+    for parts in (1, 7):
+        language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts), per_language=8)
+    assert seen[0][1] == ["aa"] * 8 + ["bb"] * 8 and (seen[0][0] == seen[1][0]).all()
+
+
 def test_long_texts_are_counted_whole():
     text = "abc " * 400_000
     short, long = language_id.features("abc " * 1000), language_id.features(text)
