@@ -9,16 +9,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a fresh folder where that is unset (tests)."""
+    """spark.checkpoint.dir; where that is unset, a fresh folder in local mode (tests) and an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: cuts lineage, and survives a lost executor."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of settled that nothing will read again."""
+    for t in tables:
+        remove(t.sparkSession, t._written_to)
