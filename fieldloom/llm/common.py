@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldloom.operators.storage import remove, shared_folder
+
 #: White space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -22,20 +23,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a fresh one where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write df to the shared folder and read it back, so that a lost executor costs no recomputation."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of materialise that nothing will read again."""
+    for t in tables:
+        remove(t.sparkSession, t._written_to)
+
+
+def fresh(columns: Iterable[str], name: str) -> str:
+    """A name for a helper column that no column of the input has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def all_of(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def one_of(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """One row for each combination of keys, the one whose printed columns have the smallest hash; combined on the map side."""
+    printed = F.xxhash64(F.to_json(F.struct(*all_of(df)), {"ignoreNullFields": "false"}))
+    named = [k.alias(f"k{i}") for i, k in enumerate(keys)]
+    best = df.groupBy(*named).agg(F.min_by(F.struct(*all_of(df)), printed).alias("row"))
+    return best.select("row.*")
 
 
 def is_empty(df: DataFrame) -> bool:

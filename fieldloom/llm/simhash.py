@@ -10,7 +10,9 @@ bits, so its groups are bounded by 65,536 by construction. Every link is found,
 
 Defined results: null text and text without words have fingerprint zero and are linked like any other; rows without
 doc_id get the component's smallest doc_id (null if there is none); repeated rows share fingerprint and component; an
-empty table gives an empty result; extra columns are carried by ``deduplicate`` and ignored elsewhere.
+empty table gives an empty result; extra columns, whatever their names, are carried by ``deduplicate`` and ignored
+elsewhere. ``deduplicate`` leaves one row of each component: the smallest doc_id (nulls last), of several texts with it
+the one with the smallest hash, of rows that repeat both the one whose printed columns have the smallest hash.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import is_empty, materialise, row_pieces
+from fieldloom.llm.common import all_of, discard, fresh, is_empty, materialise, one_of, row_pieces
 from fieldloom.llm.components import components
 
 SHINGLE = 4
@@ -170,8 +172,11 @@ def links(fps: DataFrame, blocks: int | None = None, hot: int = HOT) -> DataFram
         lists = small.groupBy("t", "key").agg(F.collect_list("fp").alias("members")).filter(F.size("members") > 1).select("members")
         found.append(materialise(lists.mapInPandas(_links, "a long, b long").distinct(), "links"))
         if not more:
+            discard(fps, *([] if crowded is None else [crowded]))
             break
-        fps = materialise(keys.join(crowded, ["t", "key"], "left_semi").select("fp").distinct(), "fps")
+        finer = materialise(keys.join(crowded, ["t", "key"], "left_semi").select("fp").distinct(), "fps")
+        discard(fps, crowded)
+        fps = finer
         blocks = LADDER[min(LADDER.index(blocks) + 2, len(LADDER) - 1)] if blocks in LADDER else LADDER[-1]
     out = found[0]
     for x in found[1:]:
@@ -180,13 +185,14 @@ def links(fps: DataFrame, blocks: int | None = None, hot: int = HOT) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, text_hash, fp, component_id per row of docs."""
+    """doc_id, text_hash, fp, component_id, root (the component's fingerprint of reference) per row of docs."""
     prints = materialise(fingerprints(docs), "fingerprints")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = materialise(components(links(distinct, **options)), "roots")
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    found = materialise(rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id"), "components")
+    found = materialise(rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id", "root"), "components")
+    discard(distinct, roots)
     return prints.join(found, F.col("fp") == F.col("_fp")).drop("_fp")
 
 
@@ -195,8 +201,24 @@ def hex_fingerprint(fp: Column) -> Column:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """docs with the smallest doc_id of each component alone; all columns as they were."""
-    found = near_duplicates(docs)
-    gone = materialise(found.filter("doc_id is distinct from component_id").select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct(), "gone")
-    on = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_hash"))
-    return docs.join(gone, on, "left_anti")
+    """docs with one row of each component, that with the smallest doc_id; all columns as they were."""
+    found = materialise(near_duplicates(docs), "found")
+    row = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    first = found.groupBy("root").agg(F.min(row).alias("first")).withColumnRenamed("root", "of")
+    own = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.hash"))
+    doc_id, text_hash = fresh(docs.columns, "gone_id"), fresh(docs.columns, "gone_hash")
+    # Written first: rows then meet it in a plain join, whose partitions Spark can split where one component fills many rows.
+    first = materialise(first, "firsts")
+    gone = found.join(first, F.col("root") == F.col("of")).filter(~own)
+    gone = materialise(gone.select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash)).distinct(), "gone")
+    on = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash))
+    rest = docs.join(gone, on, "left_anti")
+    # Rows that repeat doc_id and text: one of them stays.
+    many = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = materialise(many.select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash)), "again")
+    discard(found, first)
+    if is_empty(again):
+        return rest
+    once = one_of(rest.join(again, on, "left_semi"), [F.col("doc_id"), F.sha2("text", 256)])
+    return rest.join(again, on, "left_anti").select(*all_of(docs)).unionByName(once)
+
