@@ -1,14 +1,15 @@
 """Exact de-duplication by content-defined chunk recipes, in DataFrame operations only.
 
-A text is cut where its content says so (after a mark and a blank, from 256 characters on), so equal texts are cut
-alike wherever they stand. Chunks are brought together once, with map-side combining, and compared as text: that is what
+A text is cut where its content says so (from 256 characters on: after a mark and a blank, a mark of a script without
+blanks, or a closing sign of code), so equal texts are cut alike wherever they stand. Chunks are brought together once, with map-side combining, and compared as text: that is what
 verifies an identifier. From then on a document is its ordered list of chunk identifiers, a few per cent of its size,
 and two documents are equal exactly when their lists are. Long texts never travel again.
 
 Defined results: null text counts as empty; all empty texts are one group; rows without doc_id join their group, and the
 row that stays is the smallest non-null doc_id (null only if the group has no other); an empty table gives an empty
-result; other columns are ignored, and clashing names can't occur because only doc_id and text are read. Rows that
-repeat both doc_id and text share their verdict; ``deduplicate`` leaves one of them.
+result; other columns, whatever their names, are ignored by ``verdicts`` and carried by ``deduplicate``. Rows that repeat
+both doc_id and text share their verdict; ``deduplicate`` leaves one of them, the one whose printed columns have the
+smallest hash.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import SPACE, is_empty, materialise, text_or_empty
+from fieldloom.llm.common import SPACE, all_of, discard, fresh, is_empty, materialise, one_of, text_or_empty
 
-#: A cut after a mark and a blank, 256 to 2,048 characters on; else 2,048 characters or what is left.
-CHUNK = r"(?s).{256,2046}?[.,;:!?|] |.{1,2048}"
+#: A cut after a mark and a blank, a full-width mark, or a sign that closes code or markup, 256 to 2,048 characters on;
+#: else 2,048 characters or what is left.
+CHUNK = r"(?s).{256,2046}?(?:[.,;:!?|] |[\u3001-\u3011\uFF01-\uFF1F;}>\])])|.{1,2048}"
 
 
 def normalised(column: str = "text") -> Column:
@@ -70,13 +72,14 @@ def _told_apart(docs: DataFrame, recipes: DataFrame, clashes: DataFrame, hash_bi
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs without the rows whose normalised text an earlier doc_id holds; all columns as they were."""
     found = materialise(verdicts(docs), "verdicts")
-    tagged = docs.withColumn("_dedup_text_hash", F.xxhash64("text"))
-    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_dedup_text_hash") == F.col("_gone_hash"))
-    rest = tagged.join(gone, on, "left_anti")
-    again = materialise(found.filter("kept and group_size > 1").groupBy("doc_id", "text_sha256").count().filter("count > 1").select(F.col("doc_id").alias("_gone_id")).distinct(), "repeats")
-    if not is_empty(again):
-        same = F.col("doc_id").eqNullSafe(F.col("_gone_id"))
-        once = rest.join(again, same, "left_semi").withColumn("_norm_hash", F.sha2(normalised(), 256)).dropDuplicates(["doc_id", "_norm_hash"])
-        rest = rest.join(again, same, "left_anti").unionByName(once.drop("_norm_hash"))
-    return rest.drop("_dedup_text_hash")
+    doc_id, text_hash = fresh(docs.columns, "gone_id"), fresh(docs.columns, "gone_hash")
+    gone = materialise(found.filter("not kept").select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash)).distinct(), "gone")
+    same = F.col("doc_id").eqNullSafe(F.col(doc_id))
+    rest = docs.join(gone, same & (F.xxhash64("text") == F.col(text_hash)), "left_anti")
+    many = found.filter("kept and group_size > 1").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = materialise(many.select(F.col("doc_id").alias(doc_id)).distinct(), "repeats")
+    discard(found)
+    if is_empty(again):
+        return rest
+    once = one_of(rest.join(again, same, "left_semi"), [F.col("doc_id"), F.sha2(normalised(), 256)])
+    return rest.join(again, same, "left_anti").select(*all_of(docs)).unionByName(once)
