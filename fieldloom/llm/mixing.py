@@ -3,12 +3,14 @@
 Sizes are summed per source, targets follow from the weights by water-filling (a source stops at ``cap`` times its size
 and the excess is shared again), and the repetition rate of a source is target over size. Each document is taken
 floor(rate) times plus one hash-seeded Bernoulli copy with probability equal to the fraction. Every source has
-``SEEDS`` candidate seeds; one pass sums what each seed would take and the seed nearest to the target is used.
+``SEEDS`` candidate seeds; one pass sums what each seed would take and the seed nearest to the target is used. A copy's
+draw under a seed is Bernoulli; that the seed is picked by its sum conditions the draws of a source on each other (sums
+near the target are likelier), which is meant: README gives the size of the effect.
 
 Defined results: null text has size 0 and is taken like any other document of its source (0 words); a null source is a
 source of its own, ordered last; a null doc_id draws as the text 'null'; repeated rows draw alike; sources
-without words have target 0 and rate 0; an empty table gives an empty result; extra columns are carried by ``mix`` and
-ignored by ``plan_mix``.
+without words have target 0 and rate 0; an empty table gives an empty result; extra columns, whatever their names, are
+carried by ``mix`` and ignored by ``plan_mix``.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import WORD, materialise, text_or_empty, with_global_rank
+from fieldloom.llm.common import WORD, all_of, fresh, materialise, text_or_empty, with_global_rank
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -90,8 +92,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     The rates, a row per source, are joined to the documents; Spark sends them to the texts where its size check allows.
     """
-    plan = rates(_sizes(docs), **options).select("mix_source", F.struct("rate", "seed").alias("mix_rate"))
-    taken = docs.join(plan, F.col("source").eqNullSafe(F.col("mix_source")))
-    copies = _copies(F.col("mix_rate.rate"), F.col("mix_rate.seed"))
-    emitted = taken.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-    return emitted.select(*[F.col(f"`{c}`") for c in docs.columns])
+    name, rate, copy = (fresh(docs.columns, n) for n in ("mix_source", "mix_rate", "mix_copy"))
+    plan = rates(_sizes(docs), **options).select(F.col("mix_source").alias(name), F.struct("rate", "seed").alias(rate))
+    taken = docs.join(plan, F.col("source").eqNullSafe(F.col(name)))
+    copies = _copies(F.col(f"{rate}.rate"), F.col(f"{rate}.seed"))
+    return taken.withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*all_of(docs))
