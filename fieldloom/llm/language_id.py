@@ -7,8 +7,8 @@ margins decide ties) is predicted. The score is the family's probability times t
 Fitting takes a bounded sample: at most ``PER_LANGUAGE`` texts of every language (``SAMPLE`` of all together), chosen by a
 hash of doc_id and text, repeated rows once; everything else covers all texts whole. Defined results: null text and text without a letter are ``und`` with score 0 (as is everything
 when nothing can be learned); rows with null lang are never learned from; very long texts are counted in pieces;
-repeated rows give repeated rows; an empty table gives an empty result; other columns are ignored by ``predict`` and
-carried by ``keep_known``.
+repeated rows give repeated rows; an empty table gives an empty result; other columns, whatever their names, are ignored
+by ``predict`` and carried by ``keep_known``.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ from fieldloom.llm.common import row_pieces
 BITS = 12
 PER_LANGUAGE = 500
 #: Texts learned from at most; with many languages each gets an equal part of them, one text at least.
-SAMPLE = 32_000
+SAMPLE = 16_000
+#: A text whose score is lower is in no language that can be told: a wrong answer is likelier than a right one.
+LEAST_SCORE = 0.5
 UNKNOWN = "und"
 #: Families of language codes; a code that is not listed is a family of its own.
 FAMILIES = {
@@ -156,8 +158,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: Model | None, least_score: float = 0.0) -> DataFrame:
-    """docs without those predicted ``und`` or below least_score; all columns as they were."""
+def keep_known(docs: DataFrame, model: Model | None, least_score: float = LEAST_SCORE) -> DataFrame:
+    """docs without those predicted ``und`` or scored below least_score (languages never learned, too little text); all columns as they were."""
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
