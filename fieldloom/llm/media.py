@@ -3,10 +3,12 @@
 An Aho-Corasick automaton finds magic bytes anywhere in a blob in one pass; a validator for each format then confirms
 structure and lengths, so chance hits fall away. What is confirmed at offset 0 is the blob's type, whatever was declared;
 what is confirmed further in can be carved out. Containers are walked by their own lengths, so an item's end is known.
+What one hit has walked or searched is kept for the blob's other hits, so repeated magic bytes take linear time.
 
 ``store`` keeps a payload losslessly as 8-bit mono samples in a RIFF/WAVE container, and ``read_back`` finds it by sniffing.
 Defined results: null counts as empty; an empty blob has no type; broken containers have none either; repeated rows give
-repeated rows; an empty table gives an empty result; other columns are ignored.
+repeated rows; an empty table gives an empty result; other columns, whatever their names, are ignored by ``text_media``
+and carried by ``columns``.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -23,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import row_pieces
+from fieldloom.llm.common import fresh, row_pieces
 
 ALIGN = 64
 RATE = 8000
@@ -36,6 +39,38 @@ class Item(NamedTuple):
     detail: str
 
 
+@lru_cache(maxsize=4)
+def _places(blob: bytes, mark: bytes) -> list[int]:
+    """Where a mark stands in a blob."""
+    out, at = [], blob.find(mark)
+    while at >= 0:
+        out.append(at)
+        at = blob.find(mark, at + 1)
+    return out
+
+
+@lru_cache(maxsize=4)
+def _walks(blob: bytes, kind: str) -> dict[int, tuple[int, int] | None]:
+    """Ends of the chains walked so far in a blob."""
+    return {}
+
+
+def _chain(b: memoryview, kind: str, pos: int, step: Callable[[int], int | None]) -> tuple[int, int] | None:
+    """(end, links) of the chain from pos: step gives the next place, its own place at the end, None where it breaks."""
+    known, path = _walks(b.obj, kind), []
+    while pos not in known:
+        after = step(pos)
+        if after is None or after == pos:
+            known[pos] = None if after is None else (pos, 0)
+        else:
+            path.append(pos)
+            pos = after
+    found = known[pos]
+    for k, p in enumerate(reversed(path), 1):
+        known[p] = found and (found[0], found[1] + k)
+    return known[path[0]] if path else found
+
+
 def _png(b: memoryview, at: int) -> tuple[int, str] | None:
     pos, shape = at + 8, ""
     while pos + 12 <= len(b):
@@ -59,24 +94,25 @@ def _gif(b: memoryview, at: int) -> tuple[int, str] | None:
     width, height, flags = struct.unpack_from("<HHB", b, at + 6)
     pos = at + 13 + (3 << (flags & 7) + 1 if flags & 128 else 0)
 
-    def blocks(pos: int) -> int | None:
-        while pos < len(b):
-            if b[pos] == 0:
-                return pos + 1
-            pos += 1 + b[pos]
-        return None
+    def block(pos: int) -> int | None:
+        return None if pos >= len(b) else pos if b[pos] == 0 else pos + 1 + b[pos]
 
-    while pos is not None and pos < len(b):
-        if b[pos] == 0x3B:
-            return pos + 1, f"{width}x{height}"
-        if b[pos] == 0x21:
-            pos = blocks(pos + 2)
-        elif b[pos] == 0x2C and pos + 10 < len(b):
+    def part(pos: int) -> int | None:
+        """The place after an extension or an image; its own place at the trailer."""
+        if pos >= len(b) or b[pos] == 0x3B:
+            return pos if pos < len(b) else None
+        if b[pos] == 0x2C and pos + 10 < len(b):
             local = b[pos + 9]
-            pos = blocks(pos + 11 + (3 << (local & 7) + 1 if local & 128 else 0))
+            pos += 11 + (3 << (local & 7) + 1 if local & 128 else 0)
+        elif b[pos] == 0x21:
+            pos += 2
         else:
             return None
-    return None
+        data = _chain(b, "gif blocks", pos, block)
+        return data and data[0] + 1
+
+    parts = _chain(b, "gif parts", pos, part)
+    return parts and (parts[0] + 1, f"{width}x{height}")
 
 
 def _jpeg(b: memoryview, at: int) -> tuple[int, str] | None:
@@ -136,25 +172,30 @@ def _gzip(b: memoryview, at: int) -> tuple[int, str] | None:
 
 
 def _zip(b: memoryview, at: int) -> tuple[int, str] | None:
-    pos, n = at, 0
-    while pos + 30 <= len(b) and bytes(b[pos : pos + 4]) == b"PK\x03\x04":
+    def local(pos: int) -> int | None:
+        if pos + 30 > len(b) or bytes(b[pos : pos + 4]) != b"PK\x03\x04":
+            return pos
         flags, packed, name, extra = *struct.unpack_from("<H", b, pos + 6), *struct.unpack_from("<I", b, pos + 18), *struct.unpack_from("<HH", b, pos + 26)
-        if flags & 8:
-            return None
-        pos, n = pos + 30 + name + extra + packed, n + 1
-    while pos + 46 <= len(b) and bytes(b[pos : pos + 4]) == b"PK\x01\x02":
-        pos += 46 + sum(struct.unpack_from("<HHH", b, pos + 28))
-    if pos + 22 > len(b) or bytes(b[pos : pos + 4]) != b"PK\x05\x06" or struct.unpack_from("<H", b, pos + 10)[0] != n:
+        return None if flags & 8 else pos + 30 + name + extra + packed
+
+    def central(pos: int) -> int:
+        return pos + 46 + sum(struct.unpack_from("<HHH", b, pos + 28)) if pos + 46 <= len(b) and bytes(b[pos : pos + 4]) == b"PK\x01\x02" else pos
+
+    files = _chain(b, "zip files", at, local)
+    pos = _chain(b, "zip entries", files[0], central)[0] if files else len(b)
+    if pos + 22 > len(b) or bytes(b[pos : pos + 4]) != b"PK\x05\x06" or struct.unpack_from("<H", b, pos + 10)[0] != files[1]:
         return None
-    return pos + 22 + struct.unpack_from("<H", b, pos + 20)[0], f"{n}"
+    return pos + 22 + struct.unpack_from("<H", b, pos + 20)[0], f"{files[1]}"
 
 
 def _pdf(b: memoryview, at: int) -> tuple[int, str] | None:
     if at + 9 > len(b) or not (chr(b[at + 5]).isdigit() and b[at + 6] == 46):
         return None
-    tail = bytes(b[at:])
-    end = tail.find(b"%%EOF")
-    return (at + end + 5, tail[5:8].decode("latin-1")) if end > 0 and b"startxref" in tail[:end] else None
+    ends, starts = _places(b.obj, b"%%EOF"), _places(b.obj, b"startxref")
+    e, s = bisect_right(ends, at), bisect_right(starts, at)
+    if e == len(ends) or s == len(starts) or starts[s] > ends[e] - 9:
+        return None
+    return ends[e] + 5, bytes(b[at + 5 : at + 8]).decode("latin-1")
 
 
 #: Magic bytes, type and validator; fixed values of the formats.
@@ -242,7 +283,18 @@ def columns(blobs: DataFrame, content: str = "content", declared: str = "declare
         return pd.DataFrame(out, columns=["media_type", "type_corrected", "media_detail", "embedded"])
 
     found = look(F.col(content), F.col(declared))
-    return blobs.withColumn("_media", found).select(*[F.col(f"`{c}`") for c in blobs.columns], "_media.*")
+    name = fresh(blobs.columns, "media")
+    return blobs.withColumn(name, found).select(*[F.col(f"`{c}`") for c in blobs.columns], f"{name}.*")
+
+
+def feature_of(items: list[Item], declared: str, payload: bytes) -> str:
+    """The found type, whether the declared one was wrong, items further in, and mean, sign changes and entropy of the samples."""
+    level = np.frombuffer(payload, np.uint8)
+    counts = np.bincount(level, minlength=256)
+    share = counts[counts > 0] / len(level)
+    crossings = int(((level[1:] < 128) != (level[:-1] < 128)).sum())
+    told = f"type={items[0].type};corrected={int(items[0].type != declared)};embedded={len(items) - 1}"
+    return f"{told};mean={level.mean():.4f};crossings={crossings};entropy={-(share * np.log2(share)).sum():.4f}"
 
 
 def text_media(docs: DataFrame) -> DataFrame:
@@ -257,10 +309,7 @@ def text_media(docs: DataFrame) -> DataFrame:
                 items = sniff(media)
                 payload = _samples(media, next(x for x in items if x.start == 0 and x.type == "audio/wav"))
                 declared = "audio/wav" if len(raw) % 2 else "application/octet-stream"
-                level = np.frombuffer(payload, np.uint8)
-                counts = np.bincount(level, minlength=256)
-                share = counts[counts > 0] / len(level)
-                feature = f"type={items[0].type};corrected={int(items[0].type != declared)};embedded={len(items) - 1};mean={level.mean():.4f};crossings={int(((level[1:] < 128) != (level[:-1] < 128)).sum())};entropy={-(share * np.log2(share)).sum():.4f}"
+                feature = feature_of(items, declared, payload)
                 rows.append((doc_id, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature))
             out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
             out["doc_id"] = out["doc_id"].astype("Int64")

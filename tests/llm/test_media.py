@@ -58,6 +58,36 @@ def test_damage_is_seen():
     assert media.sniff(bytes(spoilt)) == []
 
 
+def test_repeated_magic_bytes_take_linear_time():
+    import time
+
+    tiny = b"PK\x03\x04" + b"\0" * 26
+    blobs = [b"%PDF-1." * 1_400_000, b"GIF89a" + b"\0" * 7 + b"!\x01\x04abcd" * 300_000, (b"GIF89a" + b"\0" * 7 + b"!\x01\x02ab") * 100_000, tiny * 100_000, b"RIFF\x10\0\0\0WAVE" * 200_000]
+    for blob in blobs:
+        start = time.time()
+        assert media.sniff(blob) == [] and time.time() - start < 15, blob[:20]
+
+
+def plain_feature(raw, kind, embedded):
+    """The described feature by plain Python."""
+    from math import log2
+
+    declared = "audio/wav" if len(raw) % 2 else "application/octet-stream"
+    payload = raw + b"\0" * (64 - len(raw) if not raw else -len(raw) % 64)
+    crossings = sum((a < 128) != (b < 128) for a, b in zip(payload, payload[1:], strict=False))
+    entropy = -sum(n / len(payload) * log2(n / len(payload)) for n in (payload.count(v) for v in set(payload)))
+    return {"type": kind, "corrected": str(int(declared != kind)), "embedded": str(embedded)}, (sum(payload) / len(payload), crossings, entropy)
+
+
+def test_features(spark):
+    rows = [(0, "", 0), (1, "abc é", 0), (2, "x" * 777, 0), (3, "lead " + PDF.decode() + " tail", 1), (4, PDF.decode() * 2, 2)]
+    for r in media.text_media(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect():
+        told, (mean, crossings, entropy) = plain_feature(rows[r.doc_id][1].encode(), "audio/wav", rows[r.doc_id][2])
+        found = dict(x.split("=") for x in r.feature.split(";"))
+        assert {k: found[k] for k in told} == told and int(found["crossings"]) == crossings
+        assert abs(float(found["mean"]) - mean) < 1e-3 and abs(float(found["entropy"]) - entropy) < 1e-3
+
+
 def test_declared_types_are_corrected(spark):
     rows = [(1, png(), "image/gif"), (2, png(), "image/png"), (3, b"text", "image/png"), (4, None, None), (5, b"..." + png(), None)]
     out = {r.k: r for r in media.columns(spark.createDataFrame(rows, "k int, content binary, declared string")).collect()}
