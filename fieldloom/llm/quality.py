@@ -4,22 +4,19 @@ The graded rating of a labelled text is quality + 1 - toxic: 0, 1 or 2. One weig
 shares of characters is shared by all grades; ordered thresholds cut the line, P(grade <= k) = logistic(t_k - w.x). From
 it follow the expected grade and the tail probability P(grade >= 2), by which texts are selected.
 
-Fitting takes at most ``SAMPLE`` labelled texts (a documented bound, chosen by a hash of doc_id); grades are predicted for
-every text, whole. Defined results: null text counts as empty and gets the grade of a text without words; rows of labels
-with a null rating, or repeated ones, count as they stand (nulls not at all); without labels every text has grade null
-and is kept; repeated rows give repeated rows; an empty table gives an empty result; other columns are ignored by
-``grade`` and carried by ``select_good``.
+Fitting takes at most ``SAMPLE`` labelled texts (a documented bound, chosen by a hash of doc_id, rating and text, so reruns
+agree); grades are predicted for every text, whole. Defined results: null text counts as empty and gets the grade of a text without words; rows of labels
+with a null rating or doc_id don't count, repeated ones count once; without labels every text has grade null and is kept; repeated rows give repeated rows; an empty table gives an empty result; other columns, whatever their names, are ignored
+by ``grade`` and carried by ``select_good``.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,30 +28,55 @@ GRADES = 3
 #: A text stays if its grade is at least LEAST_GRADE with this probability; low, so that doubt keeps a text.
 LEAST_GRADE = 2
 LEAST_TAIL = 0.25
-_WORDS = re.compile(r"[^\W\d_]+")
 _SHAPE = 10
 
 
+#: Texts are worked off in pieces of about so many bytes, cut at blanks (runs without one are cut where a piece ends).
+_PIECE = 1 << 18
+_SPACE = np.array([b in b" \t\n\v\f\r" for b in range(256)])
+#: Letters of words: those of ASCII, and every byte of other characters.
+_LETTER = np.array([b >= 128 or chr(b).isalpha() for b in range(256)])
+_BASE = 0x9E3779B97F4A7C15
+_UP = np.cumprod(np.r_[np.uint64(1), np.full(2 * _PIECE, _BASE, np.uint64)])
+_DOWN = np.cumprod(np.r_[np.uint64(1), np.full(2 * _PIECE, pow(_BASE, -1, 1 << 64), np.uint64)])
+
+
+def _run_hashes(piece: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """A hash of each run of bytes that are inside, from one running sum of a polynomial."""
+    edge = np.flatnonzero(np.diff(np.r_[False, inside[piece], False]))
+    start, end = edge[::2], edge[1::2]
+    sums = np.r_[np.uint64(0), np.cumsum(piece * _UP[: len(piece)])]
+    h = (sums[end] - sums[start]) * _DOWN[start]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def _pieces(raw: bytes) -> Iterator[np.ndarray]:
+    at = 0
+    while at < len(raw):
+        end = max(raw.rfind(b, at, at + _PIECE) for b in (b" ", b"\n")) + 1 if len(raw) - at > _PIECE else len(raw)
+        end = end or min(len(raw), at + _PIECE)
+        yield np.frombuffer(raw, np.uint8, end - at, at)
+        at = end
+
+
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values of a whole text: hashed words (share of words, by root) and shares of kinds of characters."""
     raw = text.encode()
-    tokens = raw.split()
-    n, chars = max(len(tokens), 1), max(len(raw), 1)
-    counts: dict[bytes, int] = {}
-    for t in tokens:
-        counts[t] = counts.get(t, 0) + 1
-    hashed: dict[int, float] = {}
-    for w in _WORDS.findall(text.lower()):
-        i = xxhash.xxh32_intdigest(w) & (1 << BITS) - 1
-        hashed[i] = hashed.get(i, 0) + 1
+    seen, hashes = np.zeros(1 << BITS), [np.zeros(0, np.uint64)]
+    for piece, low in zip(_pieces(raw), _pieces(raw.lower()), strict=True):
+        seen += np.bincount(_run_hashes(low, _LETTER) & np.uint64((1 << BITS) - 1), minlength=1 << BITS)
+        hashes.append(_run_hashes(piece, ~_SPACE))
+    times = np.unique(np.concatenate(hashes), return_counts=True)[1]
+    n, chars = max(int(times.sum()), 1), max(len(raw), 1)
+    words = np.flatnonzero(seen)
     b = np.bincount(np.frombuffer(raw, np.uint8), minlength=256) / chars
     shape = [
         1.0, b[65:91].sum(), b[48:58].sum(), b[33:48].sum() + b[58:65].sum() + b[91:97].sum() + b[123:127].sum(), b[124], b[32] + b[10],
-        len(counts) / n, max(counts.values(), default=0) / n, min(1.0, np.log1p(n) / 10), sum(c for c in counts.values() if c > 1) / n,
+        len(times) / n, times.max(initial=0) / n, min(1.0, np.log1p(n) / 10), times[times > 1].sum() / n,
     ]
-    idx = np.array([*range(_SHAPE), *(i + _SHAPE for i in hashed)], np.int32)
-    seen = np.array(list(hashed.values()))
-    return idx, np.concatenate([shape, np.minimum(1, 0.3 * np.sqrt(seen))]).astype(np.float32)
+    idx = np.concatenate([np.arange(_SHAPE), words + _SHAPE]).astype(np.int32)
+    return idx, np.concatenate([shape, np.minimum(1, 0.3 * np.sqrt(seen[words]))]).astype(np.float32)
 
 
 @dataclass
@@ -112,19 +134,22 @@ def rating() -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal | None:
-    rated = labels.select(F.col("doc_id").alias("_id"), rating().alias("grade"), F.xxhash64("doc_id").alias("_place")).filter("grade is not null")
-    chosen = rated.orderBy("_place", "_id").limit(sample).drop("_place")  # bounded by sample, so it can be sent to every task
+    rated = labels.select(F.col("doc_id").alias("_id"), rating().alias("grade")).filter("grade is not null and _id is not null").distinct()
+    chosen = rated.orderBy(F.xxhash64("_id", "grade"), "_id", "grade").limit(sample)  # bounded by sample, so it can be sent to every task
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
+    texts = texts.withColumn("place", F.xxhash64("doc_id", "grade", "text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in row_pieces(frames):
             found = [features(t) for t in frame["text"].fillna("")]
-            yield pd.DataFrame({"doc_id": frame["doc_id"].array, "grade": frame["grade"].array, "i": [i.tobytes() for i, _ in found], "v": [v.tobytes() for _, v in found]})
+            yield pd.DataFrame({"place": frame["place"].array, "doc_id": frame["doc_id"].array, "grade": frame["grade"].array, "i": [i.tobytes() for i, _ in found], "v": [v.tobytes() for _, v in found]})
 
-    rows = texts.mapInPandas(run, "doc_id long, grade int, i binary, v binary").limit(2 * sample).toPandas()
+    found = texts.mapInPandas(run, "place long, doc_id long, grade int, i binary, v binary")
+    # One row for each doc_id, rating and text, and a total order: repeated rows change no rerun.
+    found = found.groupBy("place", "doc_id", "grade").agg(F.first("i").alias("i"), F.first("v").alias("v"))
+    rows = found.orderBy("place", "doc_id", "grade").limit(sample).toPandas()
     if rows.empty:
         return None
-    rows = rows.sort_values(["doc_id", "grade"])
     x = np.zeros((len(rows), _SHAPE + (1 << BITS)), np.float32)
     for k, (i, v) in enumerate(zip(rows["i"], rows["v"], strict=True)):
         x[k, np.frombuffer(i, np.int32)] = np.frombuffer(v, np.float32)
