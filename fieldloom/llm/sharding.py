@@ -1,16 +1,18 @@
 """Sharding by a k-d tree over metadata.
 
 Space is split at weighted medians: each node is cut along its widest metadata dimension so that both sides hold their
-share of the bytes, until a leaf holds the target. A median is found by a few rounds of histograms (4,096 bins a node,
-combined on the map side), each round inside the bin that the cut falls into; the driver sees bins and cuts alone, whose
-number follows the number of shards and not the rows.
+share of the bytes, until a leaf holds the target. A median is found by a few rounds of histograms (65,536 bins a node,
+combined on the map side), each round inside the bin that the cut falls into. All nodes of a level are split at once; nodes,
+bins and cuts are tables, so the driver holds nothing that grows with rows or shards.
 
 Metadata of a text are its size, and the language and source of its smallest doc_id, so equal texts have equal metadata
-and stay together; ties are ordered by the text's checksum. Only where one text's copies weigh more than ``SLACK`` of a
-shard may a cut go through them, by a hash of doc_id, since byte balance could not hold otherwise.
+and stay together; ties are ordered by the text's checksum. A cut goes through one text's copies, by a hash of doc_id,
+only where keeping them whole would put the smaller side off its share by more than ``SLACK`` of it: bytes could not be
+near equal otherwise.
 
 Defined results: null text weighs its one byte and has checksum 0; null language and source sort as empty; null doc_id
-is hashed like any value; repeated rows get slots of their own; an empty table gives an empty result with the same columns.
+is hashed like any value; repeated rows get slots of their own; an empty table gives an empty result with the same columns;
+other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -21,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from fieldloom.llm.common import materialise
+from fieldloom.llm.common import discard, is_empty, materialise
 
 DIMENSIONS = ("by_size", "by_lang", "by_source")
 #: Composite order of a row in a dimension: 16 bits of the dimension, 32 of the checksum, 12 of a hash of doc_id.
-KEY_BITS, TEXT_BITS, ROUND_BITS = 60, 48, 12
-SLACK = 0.01
+KEY_BITS, TEXT_BITS, ROUND_BITS = 60, 48, 16
+#: A side may be off its share by this much of it for the sake of equal texts.
+SLACK = 0.02
 SLOTS = 20_000
 
 
@@ -48,76 +51,72 @@ def metadata(docs: DataFrame) -> DataFrame:
     return materialise(joined.select("doc_id", "size", "text_crc32", *[v.alias(d) for d, v in keys.items()]), "metadata")
 
 
-def _pick(values: list, node: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), node + 1)
-
-
-def _medians(rows: DataFrame, nodes: list[dict], leaf: float) -> None:
-    """Set each node's cut: the greatest key of its left side."""
-    for x in nodes:
-        x |= {"low": 0, "bits": KEY_BITS, "need": x["bytes"] * x["left"] / x["leaves"], "open": True}
-    key = F.element_at(F.array(*DIMENSIONS), _pick([x["dim"] for x in nodes], F.col("node")) + 1)
-    while any(x["open"] for x in nodes):
-        for x in nodes:
-            x["shift"] = max(0, x["bits"] - ROUND_BITS)
-        low, high = _pick([x["low"] for x in nodes], F.col("node")), _pick([x["low"] + (1 << x["bits"]) - 1 if x["open"] else -1 for x in nodes], F.col("node"))
-        inside = rows.withColumn("key", key).filter((F.col("key") >= low) & (F.col("key") <= high))
-        bin_ = F.expr("0")
-        for shift in {x["shift"] for x in nodes}:
-            bin_ = F.when(_pick([x["shift"] for x in nodes], F.col("node")) == shift, F.shiftright(F.col("key") - low, shift)).otherwise(bin_)
-        bins: dict[int, list] = {}
-        for r in inside.groupBy("node", bin_.alias("bin")).agg(F.sum("size").alias("w")).collect():  # at most 4,096 a node
-            bins.setdefault(r["node"], []).append((r["bin"], r["w"]))
-        for k, x in enumerate(nodes):
-            if not x["open"]:
-                continue
-            done, last = 0, None
-            for at, w in sorted(bins.get(k, [])):
-                last = (at, w)
-                if done + w >= x["need"]:
-                    break
-                done += w
-            if last is None:
-                x |= {"cut": x["low"] - 1, "open": False}
-                continue
-            at, w = last
-            shift, edge = x["shift"], x["low"] + (at << x["shift"])
-            if shift == 0 or (shift <= KEY_BITS - TEXT_BITS and w <= SLACK * leaf):  # the nearer side of the bin
-                with_it = abs(done + w - x["need"]) <= abs(x["need"] - done)
-                x |= {"cut": edge + (1 << shift) - 1 if with_it else edge - 1, "open": False}
-            else:
-                x |= {"low": edge, "bits": shift, "need": x["need"] - done}
-
-
-def kd_shards(rows: DataFrame, shards: int) -> DataFrame:
-    """rows (from metadata) with their leaf, 0 to shards - 1, in column shard."""
-    nodes, placed = [{"first": 0, "leaves": shards}], rows.withColumn("node", F.lit(0))
-    while any(x["leaves"] > 1 for x in nodes):
-        ends = [f(d) for d in DIMENSIONS for f in (F.min, F.max)]
-        stats = {r[0]: r for r in placed.groupBy("node").agg(F.sum("size"), *ends).collect()}  # one row a node
-        for k, x in enumerate(nodes):
-            r = stats.get(k)
-            wide = [(r[3 + 2 * i] >> TEXT_BITS - 4) - (r[2 + 2 * i] >> TEXT_BITS - 4) for i in range(len(DIMENSIONS))] if r else [0]
-            x |= {"bytes": r[1] if r else 0, "dim": wide.index(max(wide)), "left": x["leaves"] // 2}
-        total = sum(x["bytes"] for x in nodes)
-        split = [x for x in nodes if x["leaves"] > 1]
-        for k, x in enumerate(nodes):
-            x["at"] = k
-        known = F.col("node").isin([x["at"] for x in split])
-        renumber = F.expr("0")
-        for k, x in enumerate(split):
-            renumber = F.when(F.col("node") == x["at"], k).otherwise(renumber)
-        _medians(placed.filter(known).withColumn("node", renumber), split, total / shards)
-        after: list[dict] = []
-        for x in nodes:
-            x["to"] = len(after)
-            left = x["leaves"] // 2
-            after += [{"first": x["first"], "leaves": left}, {"first": x["first"] + left, "leaves": x["leaves"] - left}] if x["leaves"] > 1 else [{"first": x["first"], "leaves": 1}]
-        key = F.element_at(F.array(*DIMENSIONS), _pick([x["dim"] for x in nodes], F.col("node")) + 1)
-        beyond = key > _pick([x.get("cut", (1 << KEY_BITS) - 1) if x["leaves"] > 1 else (1 << KEY_BITS) for x in nodes], F.col("node"))
-        placed = materialise(placed.withColumn("node", _pick([x["to"] for x in nodes], F.col("node")) + beyond.cast("int")), "nodes")
-        nodes = after
-    return placed.withColumn("shard", _pick([x["first"] for x in nodes], F.col("node"))).drop("node")
+#: The key of a row in its node's dimension.
+_KEY = f"element_at(array({', '.join(DIMENSIONS)}), dim + 1)"
+#: Place of a dimension in a key.
+_AT = KEY_BITS - 16
+
+
+def _bounds(placed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """A row for each node that has to be split: its widest dimension, and how many bytes its left side needs."""
+    stats = placed.groupBy("node").agg(F.sum("size").alias("bytes"), *[f(d).alias(f"{n}_{d}") for d in DIMENSIONS for n, f in (("low", F.min), ("high", F.max))])
+    widths = [f"shiftright(high_{d}, {_AT}) - shiftright(low_{d}, {_AT})" for d in DIMENSIONS]
+    widest = F.expr(f"coalesce(array_position(array({', '.join(widths)}), greatest({', '.join(widths)})) - 1, 0)")
+    found = nodes.filter("leaves > 1").join(stats, "node", "left")
+    need = F.expr("cast(coalesce(bytes, 0) as double) * (leaves div 2) / leaves")
+    return found.select("node", "leaves", widest.cast("int").alias("dim"), need.alias("need"), F.lit(0).cast("long").alias("low"), F.lit(KEY_BITS).alias("bits"), F.lit(None).cast("long").alias("cut"))
+
+
+def _narrowed(placed: DataFrame, cuts: DataFrame, leaf: float) -> DataFrame:
+    """One round of all open cuts: bins of their ranges are summed, and each goes into the bin where its need is met."""
+    open_ = cuts.filter("cut is null").withColumn("shift", F.expr(f"greatest(bits - {ROUND_BITS}, 0)"))
+    inside = placed.join(open_.select("node", "dim", "need", "low", "bits", "shift"), "node").withColumn("key", F.expr(_KEY))
+    inside = inside.filter("key >= low and key - low < shiftleft(cast(1 as bigint), bits)")
+    bins = inside.groupBy("node", "need", F.expr("shiftright(key - low, shift)").alias("bin")).agg(F.sum("size").alias("w"))
+    upto = W.partitionBy("node").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)  # at most 65,536 bins a node
+    summed = bins.withColumn("upto", F.sum("w").over(upto))
+    bin_ = F.struct("bin", "w", "upto")
+    met = summed.groupBy("node").agg(F.coalesce(F.min_by(bin_, F.when(F.col("upto") >= F.col("need"), F.col("bin"))), F.max_by(bin_, F.col("bin"))).alias("b"))
+    at = cuts.withColumn("shift", F.expr(f"greatest(bits - {ROUND_BITS}, 0)")).join(met, "node", "left")
+    at = at.withColumns({"edge": F.expr("low + shiftleft(b.bin, shift)"), "over": F.expr("b.upto - need"), "under": F.expr("need - (b.upto - b.w)")})
+    fits = F.expr(f"least(abs(over), abs(under)) <= {SLACK} * {leaf!r}D * least(leaves div 2, leaves - leaves div 2)")
+    nearer = F.expr("if(abs(over) <= abs(under), edge + shiftleft(cast(1 as bigint), shift) - 1, edge - 1)")
+    done = (F.col("shift") == 0) | ((F.col("shift") <= KEY_BITS - TEXT_BITS) & fits)
+    was_open = F.col("cut").isNull()
+    cut = F.when(~was_open, F.col("cut")).when(F.col("b").isNull(), F.col("low") - 1).when(done, nearer)
+    step = was_open & F.col("b").isNotNull() & ~done
+    return at.select(
+        "node", "leaves", "dim", F.when(step, F.col("under")).otherwise(F.col("need")).alias("need"), F.when(step, F.col("edge")).otherwise(F.col("low")).alias("low"),
+        F.when(step, F.col("shift")).otherwise(F.col("bits")).alias("bits"), cut.alias("cut"),
+    )
+
+
+def kd_shards(rows: DataFrame, shards: int, leaf: float) -> DataFrame:
+    """rows (from metadata) with their leaf, 0 to shards - 1, in column shard; leaf is the bytes of one.
+
+    A node goes by the first leaf below it. Nodes and cuts are tables that meet the rows in joins; the driver knows the
+    number of levels and nothing else.
+    """
+    spark = rows.sparkSession
+    nodes = spark.range(1).select(F.lit(0).alias("node"), F.lit(shards).alias("leaves"))
+    placed, most = materialise(rows.withColumn("node", F.lit(0)), "nodes"), shards
+    while most > 1:
+        cuts = materialise(_bounds(placed, nodes), "cuts")
+        for k in range(1, -(-KEY_BITS // ROUND_BITS) + 1):
+            narrower = materialise(_narrowed(placed, cuts, leaf), "cuts")
+            discard(cuts)
+            cuts = narrower
+            if k * ROUND_BITS >= TEXT_BITS and is_empty(cuts.filter("cut is null")):
+                break
+        sides = placed.join(cuts.select("node", "dim", "cut", F.expr("leaves div 2").cast("int").alias("half")), "node", "left")
+        beyond = F.expr(f"if(cut is not null and {_KEY} > cut, half, 0)")
+        after = materialise(sides.select(*[c for c in placed.columns if c != "node"], (F.col("node") + beyond).alias("node")), "nodes")
+        discard(placed, cuts)
+        half = F.expr("cast(leaves div 2 as int)")
+        parts = F.array(F.struct("node", half.alias("leaves")), F.struct((F.col("node") + half).alias("node"), (F.col("leaves") - half).alias("leaves")))
+        nodes = nodes.select(F.inline(F.when(F.col("leaves") > 1, parts).otherwise(F.array(F.struct("node", "leaves")))))
+        placed, most = after, most - most // 2
+    return placed.withColumnRenamed("node", "shard")
 
 
 def with_slots(rows: DataFrame, n_rows: int) -> DataFrame:
@@ -137,5 +136,5 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     rows = metadata(docs)
     n_rows, total = rows.agg(F.count(F.lit(1)), F.sum("size")).first()
     shards = shards or max(1, ceil((total or 0) / target_bytes))
-    placed = with_slots(kd_shards(rows, shards), n_rows)
+    placed = with_slots(kd_shards(rows, shards, (total or 0) / shards), n_rows)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
