@@ -50,7 +50,7 @@ FROM k JOIN best ON k.seed = best.seed AND k.source IS NOT DISTINCT FROM best.so
 """
 
 op7_line_dedup = r"""
-WITH l AS (
+WITH RECURSIVE l AS (
   SELECT doc_id, unnest(range(len(x))) AS line_no, unnest(x) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)
 ), w AS (
   SELECT doc_id, line_no, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda v: v <> '') AS words FROM l
@@ -58,23 +58,31 @@ WITH l AS (
   SELECT doc_id, line_no, len(words) AS n, words, array_to_string(words, ' ') AS joined FROM w
 ), f AS (
   SELECT joined, n, words, doc_id, line_no FROM a WHERE n > 0 QUALIFY row_number() OVER (PARTITION BY joined ORDER BY doc_id, line_no) = 1
+), u AS (
+  SELECT 'w' AS unit, n AS size, joined, joined AS whole, words, doc_id, line_no FROM f WHERE n >= 7
+  UNION ALL SELECT 'c', length(joined), joined, joined, list_transform(range(1, length(joined) + 1), lambda k: substring(joined, CAST(k AS INT), 1)), doc_id, line_no FROM f WHERE n < 8 AND length(joined) >= 7
 ), v AS (
-  SELECT joined, n, doc_id, line_no, i, array_to_string(list_concat(words[:i - 1], words[i + 1:]), ' ') AS without
-  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM f WHERE n >= 8)
+  SELECT unit, size, joined, doc_id, line_no, i, CASE unit WHEN 'w' THEN array_to_string(list_concat(words[:i - 1], words[i + 1:]), ' ') ELSE array_to_string(list_concat(words[:i - 1], words[i + 1:]), '') END AS without
+  FROM (SELECT *, unnest(range(1, size + 1)) AS i FROM u WHERE size >= 8)
 ), ties AS (
-  SELECT x.joined, y.doc_id, y.line_no FROM v x JOIN v y ON x.without = y.without AND x.i = y.i AND x.n = y.n WHERE (y.doc_id, y.line_no) < (x.doc_id, x.line_no)
-  UNION ALL SELECT x.joined, y.doc_id, y.line_no FROM v x JOIN f y ON x.without = y.joined WHERE y.n >= 8 AND (y.doc_id, y.line_no) < (x.doc_id, x.line_no)
-  UNION ALL SELECT y.joined, x.doc_id, x.line_no FROM v x JOIN f y ON x.without = y.joined WHERE y.n >= 8 AND (x.doc_id, x.line_no) < (y.doc_id, y.line_no)
+  SELECT x.joined, y.doc_id, y.line_no FROM v x JOIN v y ON x.unit = y.unit AND x.without = y.without AND x.i = y.i AND x.size = y.size WHERE (y.doc_id, y.line_no) < (x.doc_id, x.line_no)
+  UNION ALL SELECT x.joined, y.doc_id, y.line_no FROM v x JOIN u y ON x.unit = y.unit AND x.without = y.whole WHERE (y.doc_id, y.line_no) < (x.doc_id, x.line_no)
+  UNION ALL SELECT y.joined, x.doc_id, x.line_no FROM v x JOIN u y ON x.unit = y.unit AND x.without = y.whole WHERE (x.doc_id, x.line_no) < (y.doc_id, y.line_no)
+), first_tie AS (
+  SELECT doc_id, line_no, t.p[1] AS to_doc, t.p[2] AS to_line FROM f JOIN (SELECT joined, min((doc_id, line_no)) AS p FROM ties GROUP BY joined) t USING (joined)
+), walk AS (
+  SELECT doc_id, line_no, to_doc, to_line FROM first_tie
+  UNION ALL SELECT w.doc_id, w.line_no, t.to_doc, t.to_line FROM walk w JOIN first_tie t ON w.to_doc = t.doc_id AND w.to_line = t.line_no
 ), near AS (
-  SELECT joined, min((doc_id, line_no)) AS p FROM ties GROUP BY joined
+  SELECT doc_id AS first_doc, line_no AS first_line, min((to_doc, to_line)) AS p FROM walk GROUP BY ALL
 ), j AS (
   SELECT a.doc_id, a.line_no, a.n, f.doc_id AS first_doc, f.line_no AS first_line, near.p[1] AS near_doc, near.p[2] AS near_line,
          CASE WHEN a.n = 0 THEN NULL WHEN (a.doc_id, a.line_no) <> (f.doc_id, f.line_no) THEN 'same' WHEN near.p IS NOT NULL THEN 'near' END AS reason
-  FROM a LEFT JOIN f ON a.joined = f.joined AND a.n > 0 LEFT JOIN near ON a.joined = near.joined AND a.n > 0
+  FROM a LEFT JOIN f ON a.joined = f.joined AND a.n > 0 LEFT JOIN near ON f.doc_id = near.first_doc AND f.line_no = near.first_line
 )
 SELECT doc_id, CAST(line_no AS INT) AS line_no, CAST(n AS INT) AS n_words, reason IS NULL AS kept, reason,
-       CASE reason WHEN 'same' THEN first_doc WHEN 'near' THEN near_doc ELSE doc_id END AS keep_doc_id,
-       CAST(CASE reason WHEN 'same' THEN first_line WHEN 'near' THEN near_line ELSE line_no END AS INT) AS keep_line_no
+       CASE WHEN reason IS NULL THEN doc_id ELSE coalesce(near_doc, first_doc) END AS keep_doc_id,
+       CAST(CASE WHEN reason IS NULL THEN line_no ELSE coalesce(near_line, first_line) END AS INT) AS keep_line_no
 FROM j
 """
 
@@ -83,12 +91,20 @@ _luhn = """list_sum(list_transform(range(len(digits)), lambda i: CASE WHEN i % 2
 _plain = "replace(match, ' ', '')"
 _mod97 = f"""list_reduce(list_prepend(0, list_transform(string_split({_plain}[5:] || {_plain}[:4], ''), lambda c: CASE WHEN ord(c) < 58 THEN ord(c) - 48 ELSE ord(c) - 55 END)),
        lambda a, v: CASE WHEN v < 10 THEN (a * 10 + v) % 97 ELSE (a * 100 + v) % 97 END) = 1"""
+_countries = [
+    (11, "NO"), (12, "BE"), (14, "DK FK FI FO GL NL SD"), (15, "MK SI"), (16, "AT BA EE KZ LT LU MN XK"), (17, "CH HR LI LV"),
+    (18, "BG BH CR DE GB GE IE ME RS VA"), (19, "AE GI IL IQ OM SO TL"), (20, "AD CZ ES MD PK RO SA SE SK TN VG"), (21, "LY PT ST"),
+    (22, "IS TR"), (23, "BI DJ FR GR IT MC MR SM"), (24, "AL AZ BY CY DO GT HN HU LB NI PL SV"), (25, "BR EG PS QA UA"),
+    (26, "JO KW MU YE"), (27, "MT SC"), (28, "LC"), (29, "RU"),
+]
 _kinds = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", 0.8, "mail|contact|write|reply"),
     ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "list_bool_and(list_transform(string_split(match, '.'), lambda p: len(ltrim(p, '0')) <= 3 AND coalesce(TRY_CAST(ltrim(p, '0') AS INT), 0) <= 255))", 0.6, "ip|address|host|server"),
     ("card", r"[0-9](?:[\x20-]?[0-9])+", f"len(digits) BETWEEN 14 AND 19 AND {_luhn}", 0.85, "card|visa|credit|payment"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "len(digits) BETWEEN 10 AND 15", 0.6, "phone|call|tel|mobile|fax"),
-    ("iban", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b", _mod97, 0.9, "iban|account|bank|konto|compte|cuenta"),
+    ("iban", r"\b(?:" + "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n}}}" for n, c in _countries) + r")\b", _mod97, 0.9, "iban|account|bank|konto|compte|cuenta"),
+    ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "match[1:3] NOT IN ('000', '666') AND match[1:3] < '900' AND match[5:6] <> '00' AND match[8:] <> '0000'", 0.7, "ssn|social|security"),
+    ("secret", r"\b(?:AKIA[0-9A-Z]{16}|(?:password|passwd|secret|token|api_?key)\x20?[=:]\x20?[\x22\x27]?[A-Za-z0-9+/_-]{8,128})\b", r"regexp_matches(regexp_replace(match, '^(?:[a-z_]+\x20?[=:]\x20?)?', ''), '[0-9]')", 0.8, "aws|key|login|auth|credential"),
 ]
 _found = " UNION ALL ".join(
     f"""SELECT doc_id, text, '{kind}' AS kind, {rank} AS rank, unnest(m) AS match, unnest(b[:len(m)]) AS gap, unnest(range(len(m))) AS i, {score} AS score, '(?:^|[^a-z0-9])(?:{words})' AS context

@@ -6,30 +6,28 @@ from fieldloom.llm import line_dedup
 
 
 def brute(rows):
-    """Verdict of each line: equal to an earlier one, or the earliest within the bound, or kept."""
+    """Verdict of each line: equal to an earlier one, or within the bound of one, and the line that stays for it."""
     lines = sorted(((r.doc_id is None, r.doc_id or 0, no, line.split()) for r in rows for no, line in enumerate((r.text or "").encode().split(b"\n"))), key=lambda x: x[:3])
-    seen, by_size, out = {}, {}, {}
+    seen, sizes, ends, out = {}, {}, {}, {}
     for none, doc, no, words in lines:
-        at, key = (None if none else doc, no), tuple(words)
-        if not words or seen.get(key) == at:
-            out.setdefault(at, set()).add((None, at) if not words else out_first[at])
+        at, joined = (None if none else doc, no), b" ".join(words).decode()
+        if not words:
+            out.setdefault(at, set()).add((None, at))
             continue
-        if key in seen:
-            out.setdefault(at, set()).add(("same", seen[key]))
-            continue
-        seen[key] = at
-        near = [a for n in (len(words) - 1, len(words), len(words) + 1) for a, w in by_size.get(n, []) if line_dedup.within_one(w, words)] if len(words) >= line_dedup.LONG else []
-        verdict = ("near", min(near, key=lambda a: (a[0] is None, a))) if near else (None, at)
-        out_first[at] = verdict
-        out.setdefault(at, set()).add(verdict)
-        if len(words) >= line_dedup.LONG:
-            by_size.setdefault(len(words), []).append((at, words))
+        if joined not in seen:
+            seen[joined] = at
+            near_sizes = [("w", len(words) + k) for k in (-1, 0, 1)] + (list(range(len(joined) + 2)) if len(words) < line_dedup.LONG else [])
+            others = [x for k in near_sizes for x in sizes.get(k, [])]
+            tied = [other for other, text in others if line_dedup.near(text, joined)]
+            ends[at] = ends[min(tied, key=lambda a: (a[0] is None, a))] if tied else at
+            sizes.setdefault(("w", len(words)), []).append((at, joined))
+            if len(words) <= line_dedup.LONG:
+                sizes.setdefault(len(joined), []).append((at, joined))
+        head = seen[joined]
+        out.setdefault(at, set()).add((None, at) if head == at == ends[at] else ("near" if head == at else "same", ends[head]))
     return out
 
 
-out_first: dict = {}
-
-
 def found(df):
     out = {}
     for r in line_dedup.verdicts(df).collect():
@@ -39,8 +37,21 @@ def found(df):
 
 
 def test_verdicts(docs):
-    out_first.clear()
-    assert found(docs) == brute(docs.collect())
+    out = found(docs)
+    assert out == brute(docs.collect())
+    stays = {at for at, v in out.items() if v == {(None, at)}}
+    assert all(to in stays for v in out.values() for _, to in v)  # every pointer names a line that stays
+
+
+def test_short_lines_and_borders(spark):
+    """Lines under eight words by characters, pairs of seven and eight words by words, lines under eight characters not at all."""
+    texts = ["All rights reserved.", "All rights reserved!", "All right reserved.", "abcdefg", "abcdefgh", "abcdefgX", "abcdeX", "one two", "onetwo",
+             "a b c d e f g", "a b c d e f g h", "a b c d e f gg h", "a b c d e f g h i", "kurze Zeile ä", "kurze Zeile ö", "kurze  Zeile ä", "kurze Zeile äü"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    out = found(df)
+    assert out == brute(df.collect())
+    assert [out[i, 0] for i in (1, 2, 4, 5, 6, 8)] == [{("near", (0, 0))}] * 2 + [{("near", (3, 0))}] * 2 + [{(None, (6, 0))}, {(None, (8, 0))}]
+    assert out[10, 0] == out[11, 0] == out[12, 0] == {("near", (9, 0))} and out[15, 0] == {("same", (13, 0))} and out[16, 0] == {("near", (13, 0))}
 
 
 def test_odd_cases(odd, none):
@@ -60,13 +71,17 @@ def test_deduplicate(odd, none):
     assert line_dedup.deduplicate(none).count() == 0
 
 
+#: Words more than one character apart, so that short lines differ by more than the bound.
+FAR = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot"]
+
+
 def test_texts_that_share_an_id_lose_their_own_lines(spark):
     """A line that goes from one text stays in the others without doc_id or of the same doc_id."""
     again = "a line that stands in the first document and goes elsewhere"
-    rows = [(1, again)] + [(doc_id, f"head {k}\n{again if k % 2 else f'clean {k}'}") for k in range(6) for doc_id in (None, 7)]
+    rows = [(1, again)] + [(doc_id, f"head {FAR[k]}\n{again if k % 2 else f'clean {FAR[k]}'}") for k in range(6) for doc_id in (None, 7)]
     df = spark.createDataFrame(rows[:1] + [(d, t.replace("head", f"head of {d}").replace("clean", f"clean of {d}")) for d, t in rows[1:]], "doc_id long, text string")
     out = {r.text for r in line_dedup.deduplicate(df).collect()}
-    assert out == {again} | {f"head of {d} {k}" + ("" if k % 2 else f"\nclean of {d} {k}") for k in range(6) for d in (None, 7)}
+    assert out == {again} | {f"head of {d} {FAR[k]}" + ("" if k % 2 else f"\nclean of {d} {FAR[k]}") for k in range(6) for d in (None, 7)}
 
 
 def test_survivors_join_each_text_to_its_own_lines(spark):
@@ -86,6 +101,18 @@ def distance(a, b):
     return row[-1]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abé", min_size=8, max_size=11), st.text(alphabet="abé", min_size=8, max_size=11))
+def test_shared_character_keys_are_the_bound(a, b):
+    wa, va = line_dedup.variants(a)
+    wb, vb = line_dedup.variants(b)
+    shared = any(x == y for x, y in zip(va, vb, strict=False)) and len(a) == len(b) or wa in vb or wb in va
+    if a != b:
+        assert bool(shared) == (distance(a, b) <= 1) == line_dedup.within_one(a, b)
+        if shared:
+            assert set(line_dedup._halves(a)) & set(line_dedup._halves(b))
+
+
 words = st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=9)
 
 
