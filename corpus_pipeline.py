@@ -7,12 +7,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldloom.llm import exact_dedup, language_id, mixing, sentencepiece_codec, simhash
-from fieldloom.llm.common import shared_folder, table
+from fieldloom.llm.common import table
 from fieldloom.llm.queries import tokenizer_file
+from fieldloom.operators.storage import exists, remove, shared_folder
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; those without text or letters go."""
+    """Documents in a language that can be told; those without letters go, and those scored below 0.5 for every language learned."""
     return language_id.keep_known(docs, language_id.fit(docs))
 
 
@@ -48,10 +49,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The last stage's rows. Stages are written below folder; one that is finished there is read instead of run again.
+
+    Without a folder a new one is taken, and a stage's rows are removed once the next one's are written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
+    kept = folder or f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        at = f"{kept}/{name}"
+        if folder is None or not exists(spark, f"{at}/_SUCCESS"):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(at)
+        docs = spark.read.parquet(at)
+        if folder is None and before:
+            remove(spark, before)
+        before = at
     return STAGES[-1][1](spark, docs, sf_dir)
