@@ -62,9 +62,9 @@ def add_accepted(df: DataFrame, key: str, columns: dict[str, str], accepted: Col
     return df.join(usage, q(key) == q("_own"), "left").drop("_own").filter(q(statuses[0]).isin(*statuses[1]))
 
 
-def fetch_from_twin(rows: DataFrame, twins: DataFrame, key: str, column: str) -> DataFrame:
-    """A column of rows replaced by that of the twin with the same key."""
-    return rows.drop(column).join(twins.select(key, column).dropDuplicates([key]), key, "left")
+def fetch_from_twin(rows: DataFrame, twins: DataFrame, key: str, column: str, order: list[str] | None = None) -> DataFrame:
+    """A column of rows replaced by that of the first twin with the same key, by order (the column itself unless given)."""
+    return rows.drop(column).join(keep_first(twins, [key], order or [column]).select(q(key), q(column)), key, "left")
 
 
 def join_role(df: DataFrame, dim: DataFrame, dim_key: str, roles: dict[str, dict[str, str]]) -> DataFrame:
@@ -113,11 +113,14 @@ def map_codes(df: DataFrame, column: str, codes: dict[str, str], into: str | Non
     return df.withColumn(into or column, value)
 
 
-def enrich_by_rank(df: DataFrame, enrichment: DataFrame, key: str, name: str, ranks: list[str], suffix: str = "_{}") -> DataFrame:
-    """For each rank, join on (key, name) = (key, rank column); added columns get the rank as suffix."""
+def enrich_by_rank(df: DataFrame, enrichment: DataFrame, key: str, name: str, ranks: list[str], suffix: str = "_{}", order: list[str] | None = None) -> DataFrame:
+    """For each rank, join on (key, name) = (key, rank column); added columns get the rank as suffix.
+
+    Of several rows for one key and name the first by order is taken (by the added columns unless given).
+    """
     added = [c for c in enrichment.columns if c not in (key, *ranks)]
     for rank in ranks:
-        own = enrichment.filter(q(rank).isNotNull()).dropDuplicates([key, rank])
+        own = keep_first(enrichment.filter(q(rank).isNotNull()), [key, rank], order or added)
         part = own.select(q(key).alias("_key"), q(rank).alias("_name"), *[q(c).alias(c + suffix.format(rank)) for c in added])
         df = df.join(part, (q(key) == q("_key")) & (q(name) == q("_name")), "left").drop("_key", "_name")
     return df

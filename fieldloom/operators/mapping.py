@@ -15,11 +15,17 @@ from fieldloom.functions.text import cut_brackets, snake
 from fieldloom.operators.columns import q
 
 UNMAPPED = "unmapped"
-#: Events of the legacy sheets, by the pair of letter and digit that its columns start with.
-LEGACY_EVENTS = {
-    "T1": "collection", "T2": "accession", "T3": "sample_prep", "T4": "extraction",
-    "T5": "sequencing", "T6": "assembly", "T7": "annotation", "T8": "record_level",
-}
+#: Events of the legacy sheets, in the order of the sheets' columns (a T and a digit in front).
+LEGACY_EVENTS = (
+    "collection",
+    "accession",
+    "sample prep",
+    "extraction",
+    "sequencing",
+    "assembly",
+    "annotation",
+    "record level",
+)
 #: Cells of the sheets that map nothing; a project's own prefix can be given besides.
 IGNORED_VALUES = ("0", "1", "nan", "NaN")
 IGNORED_PREFIXES = ('"', "/")
@@ -111,11 +117,15 @@ def _to_mapping(rows: DataFrame, keys: Column) -> DataFrame:
 
 
 def compile_sheet(df: DataFrame, row_no: str, field: str = "Field Name", prefixes: tuple[str, ...] = ()) -> DataFrame:
-    """Mapping of a legacy sheet: a column for each event, cells 'a, b::x (note), c' (P02)."""
-    columns = [c for c in df.columns if c[:2] in LEGACY_EVENTS]
-    cells = [F.struct(F.lit(LEGACY_EVENTS[c[:2]]).alias("event"), q(c).cast("string").alias("cell"), F.lit(i).alias("i")) for i, c in enumerate(columns)]
+    """Mapping of a legacy sheet: a column for each event, cells 'a, b::x (note), c' (P02).
+
+    The n-th column that starts with a T and a digit belongs to the n-th event, whatever its digit; columns beyond the
+    last event are left out. A cell maps one row for each event; of equal keys the later event, then the later row wins.
+    """
+    columns = [c for c in df.columns if c[:1] == "T" and c[1:2].isdigit()][: len(LEGACY_EVENTS)]
+    cells = [F.struct(F.lit(LEGACY_EVENTS[i]).alias("event"), q(c).cast("string").alias("cell"), F.lit(i).cast("long").alias("i")) for i, c in enumerate(columns)]
     rows = df.select(q(row_no).alias("row"), snake(F.replace(F.trim(q(field)), F.lit(" "), F.lit("_"))).alias("new"), F.explode(F.array(*cells)).alias("x"))
-    rows = rows.select((F.col("row") * len(columns) + F.col("x.i")).alias("row_no"), "new", "x.event", "x.cell").filter(~_no_cell(F.col("cell"), prefixes))
+    rows = rows.select(F.struct("x.i", "row").alias("row_no"), "new", "x.event", "x.cell").filter(~_no_cell(F.col("cell"), prefixes))
     keys = F.transform(F.split(cut_brackets("cell"), ","), lambda k: F.btrim(F.substring_index(k, "::", 1), F.lit(" :")))
     return _to_mapping(rows, keys)
 

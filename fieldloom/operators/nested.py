@@ -116,10 +116,17 @@ def unwrap_description(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def parse_literal(df: DataFrame, column: str, schema: str) -> DataFrame:
-    """Text with a printed record to its fields; null is an empty record."""
+    """Text with a printed record to its fields; null is an empty record.
+
+    Printed nulls and booleans are read as such outside quoted text; a field asked for as text gives them as JSON does.
+    """
     text = F.coalesce(q(column), F.lit("{}"))
-    json = F.regexp_replace(F.regexp_replace(text, r"\bNone\b", "null"), r"\b(True|False)\b", "\"$1\"")
-    parsed = F.from_json(json, schema, {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true"})
+    # Each match is a quoted text, which stays as it is, or one of the words outside of them.
+    for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        text = F.regexp_replace(text, rf"""('(?:[^'\\\\]|\\\\.)*'|"(?:[^"\\\\]|\\\\.)*")|\b{word}\b""", f"$1\u0001{json}")
+        text = F.regexp_replace(text, f"""(?<=['"])\u0001{json}""", "")
+        text = F.replace(text, F.lit(f"\u0001{json}"), F.lit(json))
+    parsed = F.from_json(text, schema, {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true"})
     return df.withColumn("_parsed", parsed).select(*[q(c) for c in df.columns if c != column], "_parsed.*")
 
 
@@ -253,10 +260,10 @@ def project_entries(df: DataFrame) -> DataFrame:
     )
 
 
-def extract_links(pages: DataFrame, key: str, html: str, pattern: str = ".*", keep_rooted: bool = False) -> DataFrame:
-    """Links of a page as (key, href, kind): folders end in /, files match the pattern at the start."""
+def extract_links(pages: DataFrame, key: str, html: str, pattern: str = ".*", keep_rooted: bool = False, carried: Iterable[str] = ()) -> DataFrame:
+    """Links of a page as (key, carried columns, href, kind): folders end in /, files match the pattern at the start."""
     hrefs = F.regexp_extract_all(q(html), F.lit(r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""), F.lit(1))
-    links = pages.select(q(key), F.explode(hrefs).alias("href")).filter("href <> ''")
+    links = pages.select(q(key), *[q(c) for c in carried], F.explode(hrefs).alias("href")).filter("href <> ''")
     skipped = F.startswith("href", F.lit("?")) if keep_rooted else F.startswith("href", F.lit("/")) | F.startswith("href", F.lit("?"))
     links = links.filter(~skipped).withColumn("kind", F.when(F.endswith("href", F.lit("/")), "folder").otherwise("file"))
     return links.filter((F.col("kind") == "folder") | F.col("href").rlike(f"^(?:{pattern})"))

@@ -17,9 +17,14 @@ def head(df: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-def sample_n(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """Exactly n rows (all if there are fewer), by a seeded random order; a top-n, not a sort."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def _place(seed: int, columns: list[str]) -> Column:
+    """A seeded digest of the printed columns: an order that neither partitions nor engines change."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(q(c).cast("string"), F.lit("")) for c in columns]))
+
+
+def sample_n(df: DataFrame, n: int, seed: int, keys: list[str] | None = None) -> DataFrame:
+    """Exactly n rows (all if there are fewer), in the order of a seeded hash of keys (all columns unless given); a top-n, not a sort."""
+    return df.orderBy(_place(seed, keys or df.columns), *[q(c) for c in keys or []]).limit(n)
 
 
 def sample_fields(df: DataFrame, n: int, seed: int) -> DataFrame:
@@ -27,8 +32,8 @@ def sample_fields(df: DataFrame, n: int, seed: int) -> DataFrame:
     cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), q(c).cast("string").alias("value")) for c in df.columns])).alias("x"))
     distinct = cells.select("x.*").filter("value is not null").distinct()
     # Spread by a seeded hash first, so a wide column's values are cut down in many tasks before one orders the rest.
-    place = F.xxhash64(F.lit(seed), "field", "value")
-    spread = W.partitionBy("field", F.pmod(place, F.lit(64))).orderBy(place, "value")
+    place = _place(seed, ["field", "value"])
+    spread = W.partitionBy("field", F.pmod(F.xxhash64("value"), F.lit(64))).orderBy(place, "value")
     few = distinct.withColumn("place", place).withColumn("k", F.row_number().over(spread)).filter(F.col("k") <= n)
     best = W.partitionBy("field").orderBy("place", "value")
     return few.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= n).select("field", "value")

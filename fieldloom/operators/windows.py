@@ -52,7 +52,7 @@ def number_rows(df: DataFrame, into: str = "row_no", order: list[str] | None = N
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     base = counts.select(F.col("_part").alias("_to"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     number = (F.col("_base") + F.col("_pos") + 1).alias(into)
-    return placed.join(F.broadcast(base), F.col("_part") == F.col("_to")).select(number, *[F.col(f"`{c}`") for c in df.columns])
+    return placed.join(base, F.col("_part") == F.col("_to")).select(number, *[F.col(f"`{c}`") for c in df.columns])
 
 
 def nth_snapshot(df: DataFrame, column: str, n: int = 0) -> DataFrame:

@@ -25,12 +25,13 @@ def assembly_clean(df: DataFrame) -> DataFrame:
     return rename(df, {"biosample": "dna_extract_id"})
 
 
-#: Fields that a genome report gives, by the part they come from.
+#: Fields that a genome report gives, by the part they come from.
 REPORT_ANNOTATION = ("method", "name", "pipeline", "provider", "release_date", "release_version", "software_version", "status")
 REPORT_BUSCO = ("busco_lineage", "busco_ver", "complete")
 REPORT_GENES = ("non_coding", "other", "protein_coding", "pseudogene", "total")
 REPORT_ASSEMBLY = ("assembly_name", "assembly_status", "assembly_type", "description", "synonym", "diploid_role", "genome_notes", "sequencing_tech", "assembly_method", "suppression_reason")
 REPORT_PAIRED = ("accession", "only_genbank", "only_refseq", "changed", "manual_diff", "status")
+REPORT_LINKED = ("linked_assembly", "assembly_type")
 REPORT_ATYPICAL = ("is_atypical", "warnings")
 REPORT_TYPE = ("type_label", "type_display_text")
 REPORT_ORGANELLE = ("description", "submitter", "total_seq_length", "bioproject")
@@ -67,6 +68,7 @@ def genome_reports(df: DataFrame, organelles: list[str] = (), exclude: list[str]
     if _struct(df, "assembly_info") and "comments" in df.schema["assembly_info"].dataType.names:
         found["comments"] = F.regexp_replace(F.coalesce("assembly_info.comments", F.lit("")), r"[\n\t]", "").alias("comments")
     take("assembly_info.paired_assembly", REPORT_PAIRED, prefix="pa")
+    take("assembly_info.linked_assemblies", REPORT_LINKED, prefix="la")
     take("assembly_info.atypical", REPORT_ATYPICAL, prefix="at")
     if _struct(df, "assembly_stats"):
         take("assembly_stats", tuple(df.schema["assembly_stats"].dataType.names))

@@ -31,7 +31,7 @@ SIDE_FILES = ("citation.csv", "headings.csv", "README.html")
 def biocache(spark: SparkSession, path: str) -> DataFrame:
     """Files of an occurrence export, without its side files."""
     names = [r["path"] for r in readers.list_files(spark, path).select("path").orderBy("path").collect()]  # names of files
-    return lists([readers.read_csv(spark, n) for n in names if n.endswith(".csv") and not n.endswith(SIDE_FILES)])
+    return readers.read_files(spark, [n for n in names if n.endswith(".csv") and not n.endswith(SIDE_FILES)])
 
 
 def resave(df: DataFrame, path: str) -> None:

@@ -2,40 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import text as X
 from fieldloom.operators import aggregates, columns, filters, html, joins, mapping, nested, records, sampling, sets, trees, windows
 from fieldloom.operators.columns import q
-from fieldloom.operators.storage import shared_folder
 from fieldloom.plans import checklists, genomes, occurrences
+from fieldloom.plans.registry import LINE, QUERIES, SQL, landing, query, table
 from fieldloom.streaming import incremental
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable:
-    def mark(f: Callable) -> Callable:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return mark
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-#: Total order of lineitem rows.
-LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-
 # ---- mapping ----
 
 ORDERS_MAP = {
@@ -67,13 +43,13 @@ def conversion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT old, event, new, array_to_string(fallbacks, ',') AS fallbacks FROM (
-  SELECT 'k' || p_partkey AS old, 'sample_prep' AS event, 'part' || p_partkey AS new, ['b' || p_size] AS fallbacks, p_partkey FROM part WHERE p_size % 5 <> 0
+  SELECT 'k' || p_partkey AS old, 'sample prep' AS event, 'part' || p_partkey AS new, ['b' || p_size] AS fallbacks, p_partkey FROM part WHERE p_size % 5 <> 0
 )
 """)
 def compile_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sheet with a row for each part; cells carry notes, titles and fallbacks, every fifth is a sentinel."""
     cell = F.when(F.col("p_size") % 5 == 0, F.lit("0")).otherwise(F.concat(F.lit("k"), "p_partkey", F.lit("::note (a, b) , b"), "p_size", F.lit("::x")))
-    sheet = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("part"), "p_partkey").alias("Field Name"), cell.alias("T3 Prep"))
+    sheet = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("part"), "p_partkey").alias("Field Name"), F.lit(None).cast("string").alias("T1 Collection"), F.lit("nan").alias("T2 Accession"), cell.alias("T4 Prep"))
     return mapping.compile_sheet(sheet, "p_partkey").select("old", "event", "new", F.array_join("fallbacks", ",").alias("fallbacks"))
 
 
@@ -344,18 +320,18 @@ def walk_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT c_custkey AS s, c_custkey * 3 AS t FROM customer UNION ALL SELECT c_custkey, c_custkey + 7 FROM customer WHERE c_nationkey <> 5),
-w AS (SELECT CAST(1 AS BIGINT) AS url, 0 AS depth UNION SELECT e.t, depth + 1 FROM w JOIN e ON e.s = w.url WHERE depth < 4)
+WITH RECURSIVE e AS (SELECT c_custkey AS s, c_custkey // 3 AS t FROM customer UNION ALL SELECT c_custkey, c_custkey // 2 + 1 FROM customer WHERE c_nationkey <> 5),
+w AS (SELECT c_custkey AS url, 0 AS depth FROM customer WHERE c_custkey % 100 = 0 UNION SELECT e.t, depth + 1 FROM w JOIN e ON e.s = w.url WHERE depth < 60)
 SELECT 'u' || url AS url, min(depth) AS depth FROM w GROUP BY url
 """)
 def frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that every hundredth customer leads to, until nothing new is reached; links halve the number, so paths are short."""
     customers = table(spark, sf_dir, "customer")
     url = lambda c: F.concat(F.lit("u"), c.cast("string"))
     key = F.col("c_custkey")
-    links = customers.select(url(key).alias("source"), url(key * 3).alias("target"), F.lit("times").alias("name"))
-    links = links.unionByName(customers.select(url(key).alias("source"), url(key + 7).alias("target"), F.when(F.col("c_nationkey") == 5, "skipped").otherwise("plus").alias("name")))
-    seeds = customers.filter("c_custkey = 1").select(url(key).alias("url"))
-    return trees.crawl_frontier(links, seeds, 4, ["skipped"])
+    links = customers.select(url(key).alias("source"), url(F.expr("c_custkey div 3")).alias("target"), F.lit("third").alias("name"))
+    halves = customers.select(url(key).alias("source"), url(F.expr("c_custkey div 2 + 1")).alias("target"), F.when(F.col("c_nationkey") == 5, "skipped").otherwise("half").alias("name"))
+    return trees.crawl_frontier(links.unionByName(halves), customers.filter(key % 100 == 0).select(url(key).alias("url")), -1, ["skipped"])
 
 
 # ---- aggregations ----
@@ -493,14 +469,19 @@ def array_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("l_orderkey", best["l_partkey"].alias("best"))
 
 
-@query()
+@query("SELECT c_custkey, c_name FROM customer ORDER BY md5('7|' || c_custkey), c_custkey LIMIT 100")
 def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.sample_n(table(spark, sf_dir, "customer"), 100, 7)
+    return sampling.sample_n(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), 100, 7, ["c_custkey"])
 
 
-@query()
+@query("""
+SELECT field, value FROM (
+  SELECT DISTINCT field, value FROM (UNPIVOT (SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer)
+    ON c_custkey, c_name, c_nationkey, c_mktsegment INTO NAME field VALUE value))
+QUALIFY row_number() OVER (PARTITION BY field ORDER BY md5('7|' || field || '|' || value), value) <= 10
+""")
 def sample_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.sample_fields(table(spark, sf_dir, "customer"), 10, 7)
+    return sampling.sample_fields(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), 10, 7)
 
 
 # ---- sets ----
@@ -607,7 +588,7 @@ SELECT page_id, href, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)'
 """)
 def url_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    links = nested.extract_links(pages, "page_id", "html", keep_rooted=True).join(pages.select("page_id", "url"), "page_id")
+    links = nested.extract_links(pages, "page_id", "html", keep_rooted=True, carried=["url"])
     return nested.resolve_urls(links, "url", "href", "target").select("page_id", "href", "target")
 
 
@@ -650,7 +631,7 @@ SELECT CAST(event_id AS VARCHAR) AS record, event_type AS scientific_name, 'DS:3
 def convert_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of landed files, converted until all that has landed is done."""
     events = table(spark, sf_dir, "events").select(q("event_id").cast("string").alias("event_id"), "event_type", "value")
-    landed = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    landed = landing(spark, "landed")
     events.repartition(4, "event_id").write.parquet(f"{landed}/in")
     stream = incremental.read_increment(spark, f"{landed}/in", events.schema, files_per_trigger=2)
     found = {"event_id": mapping.Target("collection", "record"), "event_type": mapping.Target("collection", "scientific_name")}
@@ -741,36 +722,73 @@ def cluster_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- records and tables made of the test tables ----
 
 
+#: A flat sequence record for each order, as text.
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(
+        F.lit("LOCUS       O"), "o_orderkey", F.lit(" "), "o_custkey", F.lit(" bp DNA linear PLN 01-JAN-2000\nDEFINITION  status "), "o_orderstatus",
+        F.lit("\n            and priority.\nACCESSION   A"), "o_orderkey", F.lit("\nVERSION     A"), "o_orderkey",
+        F.lit(".1\nDBLINK      BioProject: P1, P"), "o_custkey", F.lit("\n            ProbeDB: B"), "o_orderkey",
+        F.lit("\nKEYWORDS    .\nSOURCE      Aus\n  ORGANISM  Aus c"), "o_custkey", F.lit("\n            X;\n            Y.\nREFERENCE   1  (bases 1 to "), "o_custkey",
+        F.lit(")\n  AUTHORS   A.\nCOMMENT     First line\n            ##Assembly-Data-START##\n            Assembly Method (v) :: m"), "o_orderpriority",
+        F.lit("\n            Coverage            :: 9x\n            ##Assembly-Data-END##\nFEATURES             Location/Qualifiers\n     source          1.."), "o_custkey",
+        F.lit("\n                     /organism=\"Aus bus\"\n                     /isolate=\"i"), "o_orderstatus",
+        F.lit("\"\n     gene            1..9\n                     /gene=\"g"), "o_custkey", F.lit("\"\n                     /pseudo\nORIGIN\n        1 acgt"),
+    )
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("record"))
+
+
 @query("""
-SELECT o_orderkey, 'O' || o_orderkey AS locus, CAST(o_custkey AS VARCHAR) AS basepairs, 'status ' || o_orderstatus || ' and priority.' AS definition, 'A' || o_orderkey AS accession,
-       'A' || o_orderkey || '.1' AS version, '' AS keywords, 'Aus c' || o_custkey AS organism, 'X; Y' AS classification, '1 to ' || o_custkey AS range
+SELECT o_orderkey, 'O' || o_orderkey AS locus, CAST(o_custkey AS VARCHAR) AS base_pairs, 'DNA' AS type, 'linear' AS shape, 'PLN' AS seq_type, '01-JAN-2000' AS date,
+       'status ' || o_orderstatus || ' and priority.' AS definition, 'A' || o_orderkey AS accession, 'A' || o_orderkey || '.1' AS version,
+       'https://www.ncbi.nlm.nih.gov/nuccore/A' || o_orderkey || '.1' AS genbank_url, 'https://www.ncbi.nlm.nih.gov/nuccore/A' || o_orderkey || '.1?report=fasta&format=text' AS fasta_url,
+       '' AS keywords, 'Aus' AS source, 'Aus c' || o_custkey AS organism, 'X; Y.' AS higher_classification, '(bases 1 to ' || o_custkey || ')' AS bp_range, 'A.' AS authors
 FROM orders
 """)
 def record_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A flat sequence record made of each order, parsed again."""
-    text = F.concat(
-        F.lit("LOCUS       O"), "o_orderkey", F.lit(" "), "o_custkey", F.lit(" bp DNA linear PLN 01-JAN-2000\nDEFINITION  status "), "o_orderstatus",
-        F.lit("\n            and priority.\nACCESSION   A"), "o_orderkey", F.lit("\nVERSION     A"), "o_orderkey", F.lit(".1\nKEYWORDS    .\nSOURCE      Aus\n  ORGANISM  Aus c"), "o_custkey",
-        F.lit("\n            X;\n            Y.\nREFERENCE   1  (bases 1 to "), "o_custkey", F.lit(")\n  AUTHORS   A.\nORIGIN"),
-    )
-    raw = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("record")).withColumn("sections", F.split("record", r"\n(?=\S)"))
+    raw = _records(spark, sf_dir).withColumn("sections", F.split("record", r"\n(?=\S)"))
     found = records.parse_references(records.parse_record_header(raw))
-    return found.select("o_orderkey", "locus", "basepairs", "definition", "accession", "version", "keywords", "organism", "classification", F.col("references")[0]["range"].alias("range"))
+    first = F.col("references")[0]
+    return found.select(
+        "o_orderkey", "locus", "base_pairs", "type", "shape", "seq_type", "date", "definition", "accession", "version", "genbank_url", "fasta_url", "keywords", "source", "organism",
+        "higher_classification", first["bp_range"].alias("bp_range"), first["authors"].alias("authors"),
+    )
+
 
+@query("""
+SELECT o_orderkey, 'First line\\n##Assembly-Data-START##\\nAssembly Method (v) :: m' || o_orderpriority || '\\nCoverage            :: 9x\\n##Assembly-Data-END##' AS comment,
+       'm' || o_orderpriority AS method, '9x' AS coverage, 'https://www.ncbi.nlm.nih.gov/bioproject/P1 https://www.ncbi.nlm.nih.gov/bioproject/P' || o_custkey AS bioproject,
+       'https://www.ncbi.nlm.nih.gov/biosample/B' || o_orderkey AS probedb, 'g' || o_custkey AS gene, 'pseudo' AS other, 'i' || o_orderstatus AS isolate, 'i' || o_orderstatus AS specimen
+FROM orders
+""")
+def record_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged comments, links, features and specimens of the same records, by the whole sequence pipeline."""
+    raw = _records(spark, sf_dir).withColumn("record", F.regexp_replace("record", r"(?s)\nORIGIN.*$", "\nORIGIN")).withColumn("sections", F.split("record", r"\n(?=\S)"))
+    found = genomes.sequence_records(raw, ["isolate", "specimen_voucher"])
+    gene = F.col("features")["1..9"]["gene"]
+    return found.select(
+        "o_orderkey", "comment", F.col("comment_tags")["assembly_method_v"].alias("method"), F.col("comment_tags")["coverage"].alias("coverage"),
+        F.array_join(F.col("db_links")["bioproject"], " ").alias("bioproject"), F.array_join(F.col("db_links")["probedb"], " ").alias("probedb"),
+        gene["gene"].alias("gene"), gene["other"].alias("other"), "isolate", "specimen",
+    )
 
-def _customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page for each nation with a table of its customers."""
-    row = F.concat(F.lit("<tr><td>"), "c_name", F.lit("</td><td><b>"), "c_mktsegment", F.lit("</b></td></tr>"))
-    rows = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
-    return rows.select("c_nationkey", F.concat(F.lit("<h2>Nation</h2><table><tr><th>Name</th><th>Segment</th></tr>"), "rows", F.lit("</table>")).alias("html"))
+
+def _order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each order with a table of its lines, each of which has a link."""
+    row = F.concat(F.lit("<tr><td>"), "l_partkey", F.lit("</td><td><a href='s/"), "l_suppkey", F.lit("'><b>"), "l_linenumber", F.lit("</b></a></td></tr>"))
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(place.alias("at"), row.alias("row")))).alias("rows"))
+    body = F.array_join(F.transform("rows", lambda x: x["row"]), "")
+    return rows.select("l_orderkey", F.concat(F.lit("<h2>Other</h2><table><tr><td>no</td></tr></table><h2>Lines</h2><table><tr><th>Part</th><th>No</th></tr>"), body, F.lit("</table>")).alias("html"))
 
 
 @query("""
-SELECT c_nationkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_name, c_mktsegment) - 1 AS INT) AS row_no, c_name AS name, c_mktsegment AS segment FROM customer
+SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INT) AS row_no,
+       CAST(l_partkey AS VARCHAR) AS part, CAST(l_linenumber AS VARCHAR) AS no, 's/' || l_suppkey AS link FROM lineitem
 """)
 def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = html.html_table_with_link(_customer_pages(spark, sf_dir), "c_nationkey", "html", "Nation")
-    return html.cells_to_columns(cells, {"name": "Name", "segment": "Segment"})
+    cells = html.html_table_with_link(_order_pages(spark, sf_dir), "l_orderkey", "html", "Lines")
+    return html.cells_to_columns(cells, {"part": "Part", "no": "No", "link": "link"})
 
 
 @query("SELECT c_custkey, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation FROM customer")
@@ -792,8 +810,8 @@ SELECT l_orderkey, count(*) FILTER (l_returnflag = 'R') AS returned, (SELECT cou
 def array_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_returnflag", "l_linenumber")).alias("items"))
     kept = filters.filter_array(lists, "items", "l_returnflag", "R")
-    total = aggregates.count_elements(kept, "items").first()["n"]  # one number
-    return kept.select("l_orderkey", F.size("items").cast("long").alias("returned"), F.lit(total).alias("all_returned"))
+    total = aggregates.count_elements(kept, "items").scalar()  # a subquery of one number
+    return kept.select("l_orderkey", F.size("items").cast("long").alias("returned"), total.alias("all_returned"))
 
 
 @query("""
@@ -834,3 +852,6 @@ def archive_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = nested.path_to_columns(rows, "url", genomes.ARCHIVE_PREFIXES).withColumn("part", X.split_part("file_name", ".").cast("long"))
     lists = paths.groupBy("l_orderkey", "l_suppkey", "experiment").agg(F.array_sort(F.collect_list("part")).alias("p"))
     return lists.select("l_orderkey", "l_suppkey", F.array_join(F.transform("p", lambda x: x.cast("string")), ",").alias("parts"), "experiment")
+
+
+from fieldloom.plans import io_queries, source_queries, table_queries  # noqa: E402, F401  (they register themselves)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable, Iterable
 from functools import reduce
+from itertools import count
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,33 +22,35 @@ def _text_schema(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _options(reader, sep: str, encoding: str, header: bool):
-    return reader.option("sep", sep).option("encoding", encoding).option("header", header).option("quote", '"').option("escape", '"')
+def _options(reader, sep: str, encoding: str, header: bool, multi_line: bool):
+    return reader.option("sep", sep).option("encoding", encoding).option("header", header).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
 
 
 def read_csv(
     spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "utf-8", header_line: int = 0, columns: list[str] | None = None,
     nrows: int | None = None, on_bad_lines: str = "error", infer: bool = False, dates: Iterable[str] = (), keep_na: bool = False,
-    names: list[str] | None = None, skip_rows: Callable[[int], bool] | None = None,
+    names: list[str] | None = None, skip_rows: Callable[[int], bool] | None = None, multi_line: bool = True,
 ) -> DataFrame:
     """Delimited files (S01, S02, S07-S15, S17, S18, S25-S27); .gz and .bz2 are read as they are.
 
-    header_line: which line names the columns; lines before it are dropped. skip_rows: line numbers to leave out (one file).
-    on_bad_lines='skip' drops rows with more fields than the header; short rows are padded with nulls. keep_na keeps
-    blanks as empty text. Spark needs spark.sql.legacy.javaCharsets for charsets such as windows-1252.
+    header_line: which line of each file names the columns; lines before it are dropped. skip_rows: which line numbers of
+    each file to leave out. multi_line: quoted fields may hold line breaks; a file is then read by one task, so pass False
+    for huge files without such fields, which Spark then splits. on_bad_lines='skip' drops rows with more fields than the
+    header; short rows are padded with nulls. keep_na keeps blanks as empty text. Spark needs
+    spark.sql.legacy.javaCharsets for charsets such as windows-1252.
     """
     if header_line or skip_rows:
-        df = _from_lines(spark, path, sep, encoding, header_line, skip_rows)
+        df = _from_lines(spark, path, sep, encoding, header_line, skip_rows, multi_line)
     else:
-        found = names or _options(spark.read, sep, encoding, True).csv(path).columns
+        found = names or _options(spark.read, sep, encoding, True, multi_line).csv(path).columns
+        reader = _options(spark.read, sep, encoding, names is None, multi_line)
         if infer and on_bad_lines != "skip":
-            df = _options(spark.read, sep, encoding, names is None).option("inferSchema", True).csv(path).toDF(*found)
+            df = reader.option("inferSchema", True).csv(path).toDF(*found)
         else:
             # A spare column catches what goes beyond the header; short rows are padded by the reader.
-            df = _options(spark.read, sep, encoding, names is None).schema(_text_schema([*found, _SPARE])).option("mode", "PERMISSIVE").csv(path)
-            if on_bad_lines == "skip":
-                df = df.filter(F.col(_SPARE).isNull())
-            df = df.drop(_SPARE)
+            df = reader.schema(_text_schema([*found, _SPARE])).option("mode", "PERMISSIVE").csv(path)
+    if _SPARE in df.columns:
+        df = (df.filter(F.col(_SPARE).isNull()) if on_bad_lines == "skip" else df).drop(_SPARE)
     if columns is not None:
         df = df.select(*[F.col(f"`{c}`") for c in columns])
     if keep_na:
@@ -55,17 +61,49 @@ def read_csv(
     return df.limit(nrows) if nrows is not None else df
 
 
-def _from_lines(spark: SparkSession, path: str | list[str], sep: str, encoding: str, header_line: int, skip_rows: Callable[[int], bool] | None) -> DataFrame:
-    """The lines of the head of a file are numbered; it is read by the first partition, which starts at the file's start."""
-    lines = spark.read.option("encoding", encoding).text(path).withColumn("no", F.monotonically_increasing_id())
-    skipped = {k for k in range(1000) if skip_rows(k)} if skip_rows else set(range(header_line))
-    left = [k for k in range(max(skipped, default=-1) + 2) if k not in skipped]
-    header_at = left[0]
-    header = lines.filter(F.col("no") == header_at).first()["value"]
-    names = [n.strip().lstrip("#").strip() for n in header.split(sep)]
-    body = lines.filter(~F.col("no").isin([*skipped, header_at])).filter(F.trim("value") != "")
-    parsed = F.from_csv("value", _text_schema([f"c{i}" for i in range(len(names))]).simpleString()[7:-1].replace(":", " "), {"sep": sep, "quote": '"'})
-    return body.select(parsed.alias("r")).select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
+def numbered_lines(spark: SparkSession, path: str | list[str], encoding: str = "utf-8") -> DataFrame:
+    """file, no (0-based, within the file), value: lines of text files.
+
+    A line's place within its split is known where it is read; what is joined to it is one count for each split.
+    """
+    at = {"file": F.col("_metadata.file_path"), "start": F.col("_metadata.file_block_start"), "place": F.monotonically_increasing_id()}
+    lines = spark.read.option("encoding", encoding).text(path).select("value", *[c.alias(n) for n, c in at.items()])
+    splits = lines.groupBy("file", "start").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)  # one row a split
+    base = splits.select(F.col("file").alias("f"), F.col("start").alias("s"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("base"))
+    return lines.join(base, (F.col("file") == F.col("f")) & (F.col("start") == F.col("s"))).select("file", (F.col("place") + F.col("base")).alias("no"), "value")
+
+
+def _from_lines(
+    spark: SparkSession, path: str | list[str], sep: str, encoding: str, header_line: int, skip_rows: Callable[[int], bool] | None, multi_line: bool
+) -> DataFrame:
+    """Lines are numbered in each file, those that are left out go, the rest are put together to records and parsed."""
+    lines = numbered_lines(spark, path, encoding)
+    if skip_rows:
+
+        @F.pandas_udf("boolean")
+        def skipped(numbers: pd.Series) -> pd.Series:
+            return numbers.map(lambda k: bool(skip_rows(int(k)))).astype(bool)
+
+        lines = lines.filter(~skipped("no"))
+        header_at = next(k for k in count() if not skip_rows(k))
+    else:
+        header_at = header_line
+    header = lines.filter(F.col("no") == header_at).orderBy("file").first()["value"]
+    names = [n.strip().lstrip("#").strip() for n in next(csv.reader([header], delimiter=sep[:1]))] if len(sep) == 1 else [n.strip().lstrip("#").strip() for n in header.split(sep)]
+    body = lines.filter(F.col("no") > header_at)
+    if multi_line:
+        # A record goes on while its quotes are uneven; the run of a file's quotes tells where each one starts.
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        upto = W.partitionBy("file").orderBy("no").rowsBetween(W.unboundedPreceding, -1)
+        opened = F.pmod(F.coalesce(F.sum(quotes).over(upto), F.lit(0)), F.lit(2)) == 1
+        starts = body.withColumn("opened", opened).withColumn("record", F.sum((~F.col("opened")).cast("int")).over(W.partitionBy("file").orderBy("no")))
+        whole = starts.groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("no", "value"))).alias("x"))
+        body = whole.select("file", F.array_join(F.transform("x", lambda v: v["value"]), "\n").alias("value"))
+    schema = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    parsed = F.from_csv("value", schema, {"sep": sep, "quote": '"', "escape": '"'})
+    body = body.filter(F.trim("value") != "").select(parsed.alias("r"))
+    return body.select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate([*names, _SPARE])])
 
 
 def read_tsv(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -92,14 +130,26 @@ def read_stacked(spark: SparkSession, sections: dict[str, str], **options) -> Da
     return reduce(lambda a, b: a.join(b, "_row"), [numbered(e, p) for e, p in sections.items()]).drop("_row")
 
 
+def read_files(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """CSV and TSV files, columns united in first-seen order; files with one header are one scan."""
+    groups: dict[tuple, list[str]] = {}
+    for p in paths:
+        sep = {"sep": "\t"} if p.rsplit(".", 1)[-1] == "tsv" else {}
+        header = _options(spark.read, (sep | options).get("sep", ","), options.get("encoding", "utf-8"), True, False).csv(p).columns  # reads the first line
+        groups.setdefault((*sep.values(), *header), []).append(p)
+    frames = [read_csv(spark, group, **((({"sep": "\t"}) if group[0].endswith(".tsv") else {}) | options)) for group in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_dir(spark: SparkSession, path: str, patterns: dict[str, str] | None = None, **options) -> DataFrame:
     """Every supported file below a folder; columns are united in first-seen order."""
-    readers = {"*.csv": lambda p: read_csv(spark, p, **options), "*.tsv": lambda p: read_tsv(spark, p, **options), "*.parquet": lambda p: spark.read.parquet(p)}
     listed = list_files(spark, path).select("path").orderBy("path")
     if patterns:
         listed = listed.filter(reduce(lambda a, b: a | b, [F.col("path").rlike(x) for x in patterns]))
     paths = [r["path"] for r in listed.collect()]  # names of files, not their rows
-    frames = [readers[f"*.{p.rsplit('.', 1)[-1]}"](p) for p in paths if f"*.{p.rsplit('.', 1)[-1]}" in readers]
+    text, parquet = [p for p in paths if p.endswith((".csv", ".tsv"))], [p for p in paths if p.endswith(".parquet")]
+    frames = [read_files(spark, text, **options)] if text else []
+    frames += [spark.read.option("mergeSchema", True).parquet(*parquet)] if parquet else []
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -126,13 +176,28 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def read_flat_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records closed by a // line, as (record, sections): sections start at lines without a leading blank, the sequence body is left out."""
-    records = spark.read.option("lineSep", "\n//\n").text(path).withColumnRenamed("value", "record")
+#: Fixed value: where the sequence files lie.
+SEQUENCE_FILES = "https://ftp.ncbi.nlm.nih.gov/genbank/"
+
+
+def read_flat_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """file, filename, release_num, seq_file: what stands in front of the first record of each flat file."""
+    head = numbered_lines(spark, path).filter("no < 4")
+    name, release = F.substring_index(F.min_by("value", "no"), " ", 1), F.substring_index(F.max_by("value", "no"), " ", -1)
+    return head.groupBy("file").agg(F.lower(name).alias("filename"), release.alias("release_num"), F.concat(F.lit(SEQUENCE_FILES), name, F.lit(".gz")).alias("seq_file"))
+
+
+def read_flat_records(spark: SparkSession, path: str | list[str], with_file: bool = False) -> DataFrame:
+    """Records closed by a // line, as (record, sections): sections start at lines without a leading blank, the sequence body is left out.
+
+    with_file adds the columns of read_flat_headers.
+    """
+    records = spark.read.option("lineSep", "\n//\n").text(path).select(F.col("value").alias("record"), *([F.col("_metadata.file_path").alias("file")] if with_file else []))
     records = records.withColumn("record", F.regexp_replace("record", r"\n//\s*$", "")).filter(F.trim(F.regexp_replace("record", r"\s+", " ")) != "")
     started = F.regexp_replace("record", r"(?s)^.*?(?=(?:^|(?<=\n))LOCUS )", "")  # a file header stands before the first record
     without = F.regexp_replace(started, r"(?s)\nORIGIN.*$", "\nORIGIN")
-    return records.select(without.alias("record")).withColumn("sections", F.split("record", r"\n(?=\S)"))
+    out = records.withColumn("record", without).withColumn("sections", F.split("record", r"\n(?=\S)"))
+    return out.join(read_flat_headers(spark, path), "file").drop("file") if with_file else out
 
 
 def extract_script_json(pages: DataFrame, schema: str, column: str = "html", start: str = "var data =", end: str = "var checklist;") -> DataFrame:

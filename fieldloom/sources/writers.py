@@ -37,7 +37,7 @@ def compact(spark: SparkSession, source: str, target: str, files: int = 1) -> No
 
 def merge_files(spark: SparkSession, paths: list[str], target: str, **options) -> None:
     """Files with different columns into one table, columns in first-seen order."""
-    frames = [spark.read.parquet(p) if p.endswith(".parquet") else read_csv(spark, p, **options) for p in paths]
+    frames = [spark.read.parquet(p) if p.endswith(".parquet") else read_csv(spark, p, **options) for p in paths]  # few: a part each is a branch
     write_csv(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), target)
 
 

@@ -28,9 +28,10 @@ def test_legacy_sheet(spark):
     rows = [(1, "Scientific Name", "a, b::x (note), c", None), (2, "Other", '"quoted', "0"), (3, "X", "/path", " "), (4, "taxonID", "nan", "a::y"), (5, "Proj", "PRJ thing", None)]
     sheet = spark.createDataFrame(rows, "row int, `Field Name` string, `T1 Collection` string, `T8 Record` string")
     out = {r.old: (r.event, r.new, list(r.fallbacks)) for r in mapping.compile_sheet(sheet, "row", prefixes=("PRJ",)).collect()}
-    assert out == {"a": ("record_level", "taxon_id", [])}  # a later row wins for an equal key
+    assert out == {"a": ("accession", "taxon_id", [])}  # columns go by their place; a later event wins for an equal key
     first = mapping.compile_sheet(sheet.filter("row = 1"), "row").first()
     assert (first.old, first.event, first.new, first.fallbacks) == ("a", "collection", "_scientific__name", ["b", "c"])
+    assert mapping.LEGACY_EVENTS[2] == "sample prep" and mapping.LEGACY_EVENTS[7] == "record level"
 
 
 def test_modern_sheet(spark):

@@ -167,9 +167,9 @@ def test_flat_records(spark, tmp_path):
     out = sequence_records(read_flat_records(spark, str(tmp_path / "f.seq")), ["isolate", "specimen_voucher"]).orderBy("accession").collect()
     assert [r.accession for r in out] == ["AB1", "AB2"]
     r = out[0]
-    assert (r.definition, r.organism, r.classification, r.keywords) == ("Some thing wrapped.", "Aus bus", "Eukaryota; Plantae; Aus", "")
-    assert r.db_links["BioProject"][1].endswith("PRJ2") and r.comment_tags == {"assembly_method": "x v. 1 (beta)", "sequencing_tech": "y"}
-    assert (r.references[0].range, r.references[0].authors, r.specimen) == ("1 to 120", "A. and B.", "I 1")
+    assert (r.definition, r.organism, r.higher_classification, r.keywords) == ("Some thing wrapped.", "Aus bus", "Eukaryota; Plantae; Aus.", "")
+    assert r.db_links["bioproject"][1].endswith("PRJ2") and r.comment_tags == {"assembly_method": "x v. 1 (beta)", "sequencing_tech": "y"}
+    assert (r.references[0].bp_range, r.references[0].authors, r.specimen) == ("(bases 1 to 120)", "A. and B.", "I 1")
     assert r.features["1..120"]["source"]["other"] == "flag" and r.features["3..9"]["CDS"] == {"note": "long text"}
     assert records.features_of(None) == {}
 
@@ -187,3 +187,39 @@ def test_html(spark):
     assert nested.html_kv(pages, "page_id", "html", ["Skip"]).filter("page_id = 1").first()["values"]["Key"] == "v w"
     links = nested.extract_links(spark.createDataFrame([(1, '<a href="d/">x</a><a href="/r"></a><a href="f.gz"></a><a href="g.txt"></a>')], "k int, h string"), "k", "h", r".*\.gz")
     assert [(r.href, r.kind) for r in links.collect()] == [("d/", "folder"), ("f.gz", "file")]
+
+
+def test_trees_of_any_depth(spark):
+    """A chain longer than a hundred levels, and circles."""
+    n = 102
+    chain = spark.createDataFrame([(i, i - 1 if i else None, i == n - 1, str(i), i > 0, f"v{i}") for i in range(n)], "k int, p int, stop boolean, path string, flag boolean, v string").coalesce(1)
+    (found,) = trees.walk_tree(chain, "k", "p", "stop", "path").collect()
+    assert len(found.path) == n
+    assert {r.v for r in trees.resolve_inheritance(chain, "k", "p", {"flag": "v"}).collect()} == {"v0"}
+    links = chain.filter("p is not null").selectExpr("cast(p as string) source", "cast(k as string) target", "'x' name")
+    assert trees.crawl_frontier(links, spark.createDataFrame([("0",)], "url string"), -1).count() == n
+    for n in (2, 3):
+        circle = spark.createDataFrame([(i, (i + 1) % n, True, "v") for i in range(n)], "k int, p int, flag boolean, v string")
+        with pytest.raises(ValueError):
+            trees.resolve_inheritance(circle, "k", "p", {"flag": "v"})
+    repeated = spark.createDataFrame([(1, None, False, "a"), (2, 1, False, "b"), (3, 2, False, "c"), (2, 3, False, "d")], "k int, p int, stop boolean, path string")
+    with pytest.raises(ValueError):
+        trees.walk_tree(repeated, "k", "p", "stop", "path")
+
+
+def test_samples_do_not_follow_partitions(spark):
+    df = spark.range(500)
+    assert [r.id for r in sampling.sample_n(df, 20, 3).collect()] == [r.id for r in sampling.sample_n(df.repartition(7), 20, 3).collect()]
+    assert sampling.sample_n(df, 20, 4).collect() != sampling.sample_n(df, 20, 3).collect()
+
+
+def test_literals_keep_quoted_words(spark):
+    rows = [("{'a': 'None found', 'b': None, 'c': \"True, it's None\", 'd': False}",), ("{'a': 'x\\'None\\' y', 'b': 'z'}",), (None,)]
+    out = nested.parse_literal(spark.createDataFrame(rows, "t string"), "t", "a string, b string, c string, d boolean").collect()
+    assert tuple(out[0]) == ("None found", None, "True, it's None", False)
+    assert out[1].b == "z" and "None" in out[1].a and tuple(out[2]) == (None,) * 4
+
+
+def test_twins_follow_their_order(spark):
+    rows, twins = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(1, "b", 1), (1, "a", 2)], "k int, v string, at int")
+    assert joins.fetch_from_twin(rows, twins, "k", "v").first().v == "a" and joins.fetch_from_twin(rows, twins, "k", "v", ["at"]).first().v == "b"

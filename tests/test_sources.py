@@ -29,6 +29,30 @@ def test_csv(spark, tmp_path):
     assert tuple(readers.read_csv(spark, pipes, sep="\t|\t").first()) == ("1", "2")
 
 
+def test_csv_records_over_lines(spark, tmp_path):
+    text = 'a,b\n1,"x\ny"\n2,"q ""r""\n\nz"\n3,w\n'
+    wanted = [("1", "x\ny"), ("2", 'q "r"\n\nz'), ("3", "w")]
+    assert [tuple(r) for r in readers.read_csv(spark, write(tmp_path / "m.csv", text)).collect()] == wanted
+    banner = write(tmp_path / "n.csv", "banner, with comma\n" + text)
+    assert sorted(tuple(r) for r in readers.read_csv(spark, banner, header_line=1).collect()) == wanted
+    assert [tuple(r) for r in readers.read_csv(spark, write(tmp_path / "o.csv", "a,b\n1,x\n"), multi_line=False).collect()] == [("1", "x")]
+
+
+def test_lines_are_numbered_in_each_file(spark, tmp_path):
+    for name, n in (("a", 3000), ("b", 5)):
+        write(tmp_path / f"{name}.txt", "".join(f"{'note' if i % 2 else 'row'} {name}{i}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # several splits a file
+    try:
+        lines = readers.numbered_lines(spark, str(tmp_path)).collect()
+        assert len(lines) == 3005 and all(r.value.endswith(str(r.no)) for r in lines)
+        kept = readers.read_csv(spark, str(tmp_path), sep=" ", skip_rows=lambda k: k % 2 == 1 or k == 2000)
+        values = {r[1] for r in kept.collect()}
+        assert kept.columns == ["row", "a0"] and values == {f"a{i}" for i in range(2, 3000, 2) if i != 2000} | {"b2", "b4"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_dumps_and_documents(spark, tmp_path):
     p = write(tmp_path / "n.dmp", "1\t|\troot\t|\t\t|\n2\t|\tx y\t|\tz\t|\n")
     assert [tuple(r) for r in readers.read_dmp(spark, p, ["id", "name", "u"]).collect()] == [("1", "root", ""), ("2", "x y", "z")]
