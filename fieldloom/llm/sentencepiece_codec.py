@@ -4,7 +4,8 @@ Encoding keeps a score-ordered agenda of adjacent symbol pairs: the pair whose u
 go to the leftmost, and unions with the new neighbours join the agenda. No piece of such a vocabulary has a blank mark
 after another character, nor a line feed among others, so a text is the row of its segments (blank marks and what
 follows, cut at line feeds) and merges never cross a segment's border. The short segments of a batch are worked off together, a row of pair scores each; longer ones use a
-heap. Each distinct segment needs its agenda once for as long as a worker remembers it.
+heap. Each distinct segment needs its agenda once for as long as a worker remembers it: what it has learnt is kept from
+task to task, within a bound in bytes.
 
 Every batch is checked against the sentencepiece library: each segment that is new to the worker is encoded by it, each
 whole text is decoded by it, and a difference stops the job. Defined results: null text is encoded as empty (the end id
@@ -28,8 +29,10 @@ from pyspark.sql import DataFrame
 from fieldloom.llm.common import arrow_pieces
 
 BLANK = "▁"
-#: Distinct segments in each of a worker's two generations; only speed depends on it.
-REMEMBERED = 120_000
+#: Bytes of the distinct segments in each of a worker's two generations, about; only speed depends on it.
+REMEMBERED_BYTES = 22_000_000
+#: What an entry costs beside its characters and ids.
+ENTRY_BYTES = 190
 #: Segments up to this many characters are worked off together.
 SHORT = 32
 _NEVER = -np.inf
@@ -57,6 +60,7 @@ class MergeCodec:
         self.printed = [str(i) for i in range(len(pieces))]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
         self._pair_table()
         self.lead = self.long_segment(BLANK) + self.long_segment(self.cuts[0]) if self.cuts else b""
 
@@ -168,10 +172,14 @@ class MergeCodec:
         """Have all parts in the young generation; new ones are encoded and compared with the library."""
         young, old = self.young, self.old
         need = [p for p in parts if p not in young]
-        if len(young) + len(need) > REMEMBERED and young:
+        size = sum(map(len, need)) * 3 + len(need) * ENTRY_BYTES
+        if self.held + size > REMEMBERED_BYTES and young:
             self.old = old = young | {p: old[p] for p in need if p in old}
             self.young = young = {p: old[p] for p in parts if p in old}
             need = [p for p in need if p not in young]
+            self.held = sum(map(len, young)) * 3 + len(young) * ENTRY_BYTES
+            size = sum(map(len, need)) * 3 + len(need) * ENTRY_BYTES
+        self.held += size
         new = []
         for p in need:
             if (known := old.get(p)) is not None:
@@ -199,10 +207,6 @@ class MergeCodec:
         marked = BLANK + text.replace(" ", BLANK) if text else ""
         return [marked] if self.crossing and marked else self.pattern.findall(marked)
 
-    def forget(self) -> None:
-        """Give back what was remembered, so that a worker that is used again starts small."""
-        self.young, self.old = {}, {}
-
     def decode(self, ids: list[int]) -> str:
         """Text of ids: pieces and bytes joined, the blank that encoding put in front removed."""
         raw = self.raw
@@ -235,6 +239,5 @@ def round_trip(docs: DataFrame, model_file: str, keep_ids: bool = False) -> Data
             if keep_ids:
                 out |= {"ids": pa.array(found, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
             yield pa.RecordBatch.from_pydict(out)
-        own.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

@@ -29,7 +29,7 @@ def test_long_and_odd_texts(codec, text):
 
 def test_memory_may_be_small(codec, monkeypatch, docs):
     """What a worker remembers changes nothing but its speed."""
-    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED", 50)
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED_BYTES", 10_000)
     own = sentencepiece_codec.MergeCodec(tokenizer_file())
     for r in docs.limit(40).collect():
         assert own.encode([r.text]) == [own.library.encode(r.text, add_eos=True)]
