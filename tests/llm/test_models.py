@@ -74,3 +74,94 @@ def test_quality_odd_cases(spark, odd, none):
     rows = quality.grade(odd, None).collect()
     assert all(r.kept and r.grade is None for r in rows)
     assert quality.grade(none, model).count() == 0
+
+
+def likelihood(x, grade, weights, cuts, penalty=1e-4):
+    """Minus the weighted log-likelihood of the cumulative-link model, with the penalty of the fit, by its definition."""
+    import numpy as np
+
+    below = 1 / (1 + np.exp(-(np.array(cuts)[None, :] - (x @ weights)[:, None])))
+    p = np.diff(np.concatenate([np.zeros((len(x), 1)), below, np.ones((len(x), 1))], 1), axis=1)[np.arange(len(x)), grade]
+    times = np.bincount(grade, minlength=3)
+    w = (1 / np.maximum(times, 1))[grade]
+    return -(np.log(p) * w / w.sum()).sum() + penalty / 2 * (weights**2).sum()
+
+
+def test_ordinal_fit_is_an_optimum():
+    """The numeric gradient of the likelihood vanishes where the fit ends, and no step from there lowers it by much."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 6)).astype(np.float32)
+    grade = np.digitize(x @ np.array([1.0, -2, 0.5, 0, 0, 1]) + rng.logistic(size=300), [-1.0, 1.5])
+    model = quality.fit_ordinal(x, grade, rounds=3000, rate=0.02)
+    at = np.concatenate([model.weights, model.thresholds])
+    f = lambda v: likelihood(x.astype(float), grade, v[:6], v[6:])
+    gradient = np.array([(f(at + 1e-4 * e) - f(at - 1e-4 * e)) / 2e-4 for e in np.eye(len(at))])
+    assert np.abs(gradient).max() < 2e-3
+    slow = np.concatenate([np.zeros(6), [-1.0, 1.0]])  # plain descent by numeric gradients
+    for _ in range(1500):
+        slow = slow - 0.8 * np.array([(f(slow + 1e-4 * e) - f(slow - 1e-4 * e)) / 2e-4 for e in np.eye(len(slow))])
+    assert f(at) <= f(slow) + 1e-4 and np.abs(at - slow).max() < 0.1
+
+
+def test_quality_features_by_plain_python():
+    import re
+
+    text = "The cat, the CAT and\tthe-dog\n" + "wort ä1 2b " * 30000
+    idx, val = quality.features(text)
+    tokens = text.encode().split()
+    raw = text.encode()
+    times = {t: tokens.count(t) for t in set(tokens)}
+    shape = dict(zip(idx[:10], val[:10], strict=True))
+    assert abs(shape[6] - len(times) / len(tokens)) < 1e-6 and abs(shape[7] - max(times.values()) / len(tokens)) < 1e-6
+    assert abs(shape[9] - sum(n for n in times.values() if n > 1) / len(tokens)) < 1e-6 and abs(shape[1] - sum(65 <= b < 91 for b in raw) / len(raw)) < 1e-6
+    words = re.findall(rb"[a-z\x80-\xff]+", raw.lower())
+    assert len(idx) - 10 == len(set(words))  # no two of these few words share a place
+    assert abs(sum((v / 0.3) ** 2 for v in val[10:] if v < 1) - sum(words.count(w) for w in set(words) if words.count(w) < 12)) < 1e-3
+
+
+def test_quality_fit_is_the_same_in_each_run(spark):
+    docs = spark.createDataFrame([(i % 50, f"text {i % 50} of words {'x' * (i % 7)}") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 50, i % 2, i % 3 % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    a, b = (quality.fit(docs.repartition(n), labels.repartition(n), sample=40) for n in (1, 6))
+    assert (a.weights == b.weights).all() and (a.thresholds == b.thresholds).all()
+
+
+def test_votes_by_plain_python(docs):
+    """Features and votes by their definition."""
+    import re
+
+    import numpy as np
+
+    model = language_id.fit(docs)
+    hashed = lambda h, k: ((h ^ (h >> 15)) * k & 0xFFFFFFFF) >> 20
+    for r in docs.filter("text is not null").orderBy("doc_id").limit(25).collect():
+        raw = re.sub(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]", b" ", b" " + r.text.lower().encode() + b" ")
+        counts = np.zeros(4096)
+        for i in range(len(raw) - 1):
+            two = (raw[i] * 0x9E3779B1 + raw[i + 1] * 0x85EBCA77) & 0xFFFFFFFF
+            counts[hashed(two, 0x2C1B3C6D)] += 1
+            if i < len(raw) - 2:
+                counts[hashed((two * 0xC2B2AE3D + raw[i + 2] * 0x27D4EB2F) & 0xFFFFFFFF, 0x297A2D39)] += 1
+        x = np.sqrt(counts) / np.sqrt(counts.sum())
+        sure = lambda m: 1 / (1 + np.exp(-4 * m))
+        margins = [float(w @ x + b) for w, b in zip(model.family_w, model.family_b, strict=True)]
+        family = model.families[int(np.argmax(margins))]
+        votes = {v: [] for v in model.members[family]}
+        for (f, a, b), (w, bias) in model.pairs.items():
+            if f == family:
+                m = float(w @ x + bias)
+                votes[a if m >= 0 else b].append(abs(m))
+        best = max(votes, key=lambda v: (len(votes[v]), sum(votes[v]), v))
+        score = sure(max(margins)) * (np.mean([sure(m) for m in votes[best]]) if votes[best] else 1)
+        lang, found = model.predict(r.text)
+        assert lang == best and abs(found - score) < 2e-3
+
+
+def test_language_stage_keeps_clean_documents_and_rejects_the_rest(docs, spark):
+    model = language_id.fit(docs)
+    clean = docs.filter("lang is not null and length(text) > 100")
+    assert language_id.keep_known(clean, model).count() >= 0.99 * clean.count()
+    other = ["Съешь же ещё этих мягких французских булок, да выпей чаю", "いろはにほへとちりぬるをわかよたれそつねならむ", "zxqv kjh wqp mnbv qwx zzk", "1234 --- 5678", ""]
+    assert language_id.keep_known(spark.createDataFrame([(i, t) for i, t in enumerate(other)], "doc_id long, text string"), model).count() == 0

@@ -38,6 +38,26 @@ def test_a_text_that_outweighs_shards_is_cut(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 16, 0.1)
 
 
+def test_equal_texts_are_cut_only_where_balance_asks_for_it(spark):
+    """Copies that weigh a fifth of a shard stay whole where other texts can make up for them."""
+    rows = [(i, f"copy {i // 30} " + "x" * 100, "en", "s") for i in range(600)] + [(i, f"text {i} " + "y" * (i * 37 % 90), "en", f"s{i % 5}") for i in range(600, 6000)]
+    out = check(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 4, 0.05)
+    by_text = defaultdict(set)
+    for r in out:
+        by_text[r.text_crc32, r.size].add(r.shard)
+    assert all(len(s) == 1 for s in by_text.values())
+
+
+def test_many_shards(spark):
+    """Nodes and cuts are tables, so the number of shards changes no plan."""
+    rows = [(i, f"text {i} " + "y" * (i * i % 97), f"l{i % 3}", f"s{i % 7}") for i in range(8000)]
+    sizes = defaultdict(int)
+    for r in shard(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), shards=2000).collect():
+        sizes[r.shard] += r.size
+    mean = sum(sizes.values()) / 2000
+    assert len(sizes) == 2000 and max(sizes.values()) <= mean + 4 * 110
+
+
 def test_odd_cases(odd, none):
     rows = shard(odd, shards=16).collect()
     assert len(rows) == odd.count()
