@@ -46,6 +46,19 @@ def fresh(columns: Iterable[str], name: str) -> str:
     return name
 
 
+#: Rows in an Arrow batch that goes to Python at most; Spark's own 10,000 texts are tens of megabytes on both sides.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session that sends texts to Python in small Arrow batches; a smaller setting of the user's stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(df.sparkSession.conf.get(name))
+    if not 0 < rows <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def all_of(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import row_pieces
+from fieldloom.llm.common import in_small_batches, row_pieces
 
 BITS = 12
 PER_LANGUAGE = 500
@@ -123,7 +123,7 @@ class Model:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """A model from at most per_language texts of each language, of rows that are not held out; None without such rows."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).withColumn("place", F.xxhash64("doc_id", "text"))
+    known = in_small_batches(docs).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).withColumn("place", F.xxhash64("doc_id", "text"))
     counts = known.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).orderBy("lang").collect()  # one row per language
     if not counts:
         return None
@@ -155,7 +155,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             found = [model.predict(t) if model and _LETTER.search(t) else (UNKNOWN, 0.0) for t in frame["text"].fillna("")]
             yield pd.DataFrame({"doc_id": frame["doc_id"].array, "held_out": frame["held_out"].array, "lang_pred": [v for v, _ in found], "score": [s for _, s in found]})
 
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return in_small_batches(docs).select("doc_id", held_out().alias("held_out"), "text").mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, model: Model | None, least_score: float = LEAST_SCORE) -> DataFrame:
@@ -166,4 +166,4 @@ def keep_known(docs: DataFrame, model: Model | None, least_score: float = LEAST_
         found = [model.predict(t) if model and _LETTER.search(t) else (UNKNOWN, 0.0) for t in texts.fillna("")]
         return pd.Series([v != UNKNOWN and s >= least_score for v, s in found], dtype=bool)
 
-    return docs.filter(known(F.col("text")))
+    return in_small_batches(docs).filter(known(F.col("text")))

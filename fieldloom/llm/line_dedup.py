@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import all_of, discard, fresh, is_empty, materialise, row_pieces, with_global_rank
+from fieldloom.llm.common import all_of, discard, fresh, in_small_batches, is_empty, materialise, row_pieces, with_global_rank
 
 LONG = 8
 _LINE = "doc_id long, text_hash long, line_no int, n_words int, h1 long, h2 long, halves array<long>"
@@ -79,7 +79,7 @@ def lines(docs: DataFrame) -> DataFrame:
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, _LINE)
+    return in_small_batches(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, _LINE)
 
 
 def variants(units: list[bytes] | str) -> tuple[np.ndarray, np.ndarray]:

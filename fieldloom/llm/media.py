@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import fresh, row_pieces
+from fieldloom.llm.common import fresh, in_small_batches, row_pieces
 
 ALIGN = 64
 RATE = 8000
@@ -284,7 +284,7 @@ def columns(blobs: DataFrame, content: str = "content", declared: str = "declare
 
     found = look(F.col(content), F.col(declared))
     name = fresh(blobs.columns, "media")
-    return blobs.withColumn(name, found).select(*[F.col(f"`{c}`") for c in blobs.columns], f"{name}.*")
+    return in_small_batches(blobs).withColumn(name, found).select(*[F.col(f"`{c}`") for c in blobs.columns], f"{name}.*")
 
 
 def feature_of(items: list[Item], declared: str, payload: bytes) -> str:
@@ -316,4 +316,4 @@ def text_media(docs: DataFrame) -> DataFrame:
             yield out
 
     kinds = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return docs.select("doc_id", "text").mapInPandas(run, kinds)
+    return in_small_batches(docs).select("doc_id", "text").mapInPandas(run, kinds)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import row_pieces
+from fieldloom.llm.common import in_small_batches, row_pieces
 
 BITS = 12
 SAMPLE = 4000
@@ -136,7 +136,7 @@ def rating() -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal | None:
     rated = labels.select(F.col("doc_id").alias("_id"), rating().alias("grade")).filter("grade is not null and _id is not null").distinct()
     chosen = rated.orderBy(F.xxhash64("_id", "grade"), "_id", "grade").limit(sample)  # bounded by sample, so it can be sent to every task
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
+    texts = in_small_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
     texts = texts.withColumn("place", F.xxhash64("doc_id", "grade", "text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,7 +167,7 @@ def grade(docs: DataFrame, model: Ordinal | None, least_tail: float = LEAST_TAIL
             out.insert(0, "doc_id", frame["doc_id"].array)
             yield out
 
-    found = docs.select("doc_id", "text").mapInPandas(run, "doc_id long, expected_grade double, tail_prob double, grade int")
+    found = in_small_batches(docs).select("doc_id", "text").mapInPandas(run, "doc_id long, expected_grade double, tail_prob double, grade int")
     return found.withColumn("kept", F.coalesce(F.col("tail_prob") >= least_tail, F.lit(True)))
 
 
@@ -178,4 +178,4 @@ def select_good(docs: DataFrame, model: Ordinal | None, least_tail: float = LEAS
     def good(texts: pd.Series) -> pd.Series:
         return pd.Series([model is None or model.grade(t)[1] >= least_tail for t in texts.fillna("")], dtype=bool)
 
-    return docs.filter(good(F.col("text")))
+    return in_small_batches(docs).filter(good(F.col("text")))

@@ -26,11 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fieldloom.llm.common import arrow_pieces
+from fieldloom.llm.common import arrow_pieces, in_small_batches
 
 BLANK = "▁"
 #: Bytes of the distinct segments in each of a worker's two generations, about; only speed depends on it.
-REMEMBERED_BYTES = 22_000_000
+REMEMBERED_BYTES = 20_000_000
 #: What an entry costs beside its characters and ids.
 ENTRY_BYTES = 190
 #: Segments up to this many characters are worked off together.
@@ -240,4 +240,4 @@ def round_trip(docs: DataFrame, model_file: str, keep_ids: bool = False) -> Data
                 out |= {"ids": pa.array(found, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
             yield pa.RecordBatch.from_pydict(out)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import all_of, discard, fresh, is_empty, materialise, one_of, row_pieces
+from fieldloom.llm.common import all_of, discard, fresh, in_small_batches, is_empty, materialise, one_of, row_pieces
 from fieldloom.llm.components import components
 
 SHINGLE = 4
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             fps = [fingerprint(t) for t in frame["text"].fillna("")]
             yield pd.DataFrame({"doc_id": frame["doc_id"].array, "text_hash": frame["text_hash"].array, "fp": np.array(fps, np.int64)})
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, "doc_id long, text_hash long, fp long")
+    return in_small_batches(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, "doc_id long, text_hash long, fp long")
 
 
 def table_masks(blocks: int, bound: int = BOUND) -> list[int]:
