@@ -27,7 +27,7 @@ from fieldloom.llm.common import discard, is_empty, materialise
 
 DIMENSIONS = ("by_size", "by_lang", "by_source")
 #: Composite order of a row in a dimension: 16 bits of the dimension, 32 of the checksum, 12 of a hash of doc_id.
-KEY_BITS, TEXT_BITS, ROUND_BITS = 60, 48, 16
+KEY_BITS, TEXT_BITS, ROUND_BITS, COARSE_BITS = 60, 48, 16, 8
 #: A side may be off its share by this much of it for the sake of equal texts.
 SLACK = 0.02
 SLOTS = 20_000
@@ -67,16 +67,30 @@ def _bounds(placed: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.select("node", "leaves", widest.cast("int").alias("dim"), need.alias("need"), F.lit(0).cast("long").alias("low"), F.lit(KEY_BITS).alias("bits"), F.lit(None).cast("long").alias("cut"))
 
 
+def _upto(bins: DataFrame, place: str, before: Column) -> DataFrame:
+    """bins with the bytes of a node up to and with each of them."""
+    running = W.partitionBy("node").orderBy(place).rowsBetween(W.unboundedPreceding, 0)  # at most 256 a node
+    return bins.withColumn("upto", F.sum("w").over(running) + before)
+
+
+def _met(bins: DataFrame, place: str) -> DataFrame:
+    """node and b: the first of its bins with which the need is met, the last one if none does."""
+    b = F.struct(place, "w", "upto")
+    return bins.groupBy("node").agg(F.coalesce(F.min_by(b, F.when(F.col("upto") >= F.col("need"), F.col(place))), F.max_by(b, F.col(place))).alias("b"))
+
+
 def _narrowed(placed: DataFrame, cuts: DataFrame, leaf: float) -> DataFrame:
     """One round of all open cuts: bins of their ranges are summed, and each goes into the bin where its need is met."""
     open_ = cuts.filter("cut is null").withColumn("shift", F.expr(f"greatest(bits - {ROUND_BITS}, 0)"))
     inside = placed.join(open_.select("node", "dim", "need", "low", "bits", "shift"), "node").withColumn("key", F.expr(_KEY))
     inside = inside.filter("key >= low and key - low < shiftleft(cast(1 as bigint), bits)")
     bins = inside.groupBy("node", "need", F.expr("shiftright(key - low, shift)").alias("bin")).agg(F.sum("size").alias("w"))
-    upto = W.partitionBy("node").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)  # at most 65,536 bins a node
-    summed = bins.withColumn("upto", F.sum("w").over(upto))
-    bin_ = F.struct("bin", "w", "upto")
-    met = summed.groupBy("node").agg(F.coalesce(F.min_by(bin_, F.when(F.col("upto") >= F.col("need"), F.col("bin"))), F.max_by(bin_, F.col("bin"))).alias("b"))
+    # First the run of COARSE bins in which the need is met, then the bin within it: no task gets more of a node than that.
+    run = F.shiftright("bin", COARSE_BITS).alias("run")
+    runs = _upto(bins.groupBy("node", "need", run).agg(F.sum("w").alias("w")), "run", F.lit(0))
+    chosen = _met(runs, "run").select(F.col("node").alias("in"), F.col("b.run").alias("at"), (F.col("b.upto") - F.col("b.w")).alias("before"))
+    inner = bins.join(chosen, (F.col("node") == F.col("in")) & (F.shiftright("bin", COARSE_BITS) == F.col("at")))
+    met = _met(_upto(inner, "bin", F.col("before")), "bin")
     at = cuts.withColumn("shift", F.expr(f"greatest(bits - {ROUND_BITS}, 0)")).join(met, "node", "left")
     at = at.withColumns({"edge": F.expr("low + shiftleft(b.bin, shift)"), "over": F.expr("b.upto - need"), "under": F.expr("need - (b.upto - b.w)")})
     fits = F.expr(f"least(abs(over), abs(under)) <= {SLACK} * {leaf!r}D * least(leaves div 2, leaves - leaves div 2)")
