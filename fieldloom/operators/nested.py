@@ -123,7 +123,7 @@ def parse_literal(df: DataFrame, column: str, schema: str) -> DataFrame:
     text = F.coalesce(q(column), F.lit("{}"))
     # Each match is a quoted text, which stays as it is, or one of the words outside of them.
     for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        text = F.regexp_replace(text, rf"""('(?:[^'\\\\]|\\\\.)*'|"(?:[^"\\\\]|\\\\.)*")|\b{word}\b""", f"$1\u0001{json}")
+        text = F.regexp_replace(text, rf"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|\b{word}\b""", f"$1\u0001{json}")
         text = F.regexp_replace(text, f"""(?<=['"])\u0001{json}""", "")
         text = F.replace(text, F.lit(f"\u0001{json}"), F.lit(json))
     parsed = F.from_json(text, schema, {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true"})

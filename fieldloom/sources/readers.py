@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldloom.operators.storage import settled
 from fieldloom.operators.windows import number_rows
 
 _SPARE = "_beyond_the_header"
@@ -71,6 +72,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str], encoding: str = "
     splits = lines.groupBy("file", "start").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)  # one row a split
     base = splits.select(F.col("file").alias("f"), F.col("start").alias("s"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("base"))
+    base = settled(base, "splits")  # of a known size, so that Spark sends it to the lines instead of moving them
     return lines.join(base, (F.col("file") == F.col("f")) & (F.col("start") == F.col("s"))).select("file", (F.col("place") + F.col("base")).alias("no"), "value")
 
 
