@@ -20,7 +20,9 @@ def _tagged(tag: str, name: str) -> Column:
     return F.concat(F.lit(tag), _text(name))
 
 
-NONE = F.lit(None).cast("string")
+def _none() -> Column:
+    return F.lit(None).cast("string")
+
 
 # ---- checklists ----
 
@@ -45,12 +47,12 @@ def fauna_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean-up of a fauna checklist: carved ranks, families of valid twins, names and authorship."""
     key, n = q("c_custkey"), q("c_nationkey")
     rank = F.when(key % 6 == 0, "Species Inquirenda").when(key % 6 == 1, "Species").when(key % 6 == 2, "subspecies").when(key % 6 == 3, "Genus").otherwise("Incertae Sedis")
-    values = {c: NONE for c in (*checklists.FAUNA_DROPPED, *checklists.FAUNA_NAMES)} | {
+    values = {c: _none() for c in (*checklists.FAUNA_DROPPED, *checklists.FAUNA_NAMES)} | {
         "PUB_PUB_PARENT_BOOK_TITLE": _tagged("b", "c_custkey"), "PUB_PUB_PARENT_JOURNAL_TITLE": F.lit("j"), "PUB_PUB_PARENT_ARTICLE_TITLE": F.lit("a"), "RANK": rank,
         "SCIENTIFIC_NAME": F.when(key % 7 == 0, "Unplaced Synonym(s)").otherwise(_tagged("n", "c_custkey")), "NAME_TYPE": F.when(key % 4 < 2, "Valid Name").otherwise("Synonym"),
         "TAXON_GUID": _tagged("n", "c_nationkey"), "FAMILY": q("c_mktsegment"), "GENUS": F.lit("Aus"), "SUBGENUS": F.when(n % 2 == 1, _tagged("Sub", "c_nationkey")), "SPECIES": F.lit("bus"),
         "SUBSPECIES": F.lit("cus"), "NAMES_VARIOUS": _tagged("various", "c_custkey"), "AUTHOR": F.when(n % 3 != 0, _tagged("Author", "c_nationkey")), "YEAR": F.lit("1758.0"),
-        "ORIG_COMBINATION": F.when(n % 5 == 0, "N").otherwise("Y"), "QUALIFICATION": NONE,
+        "ORIG_COMBINATION": F.when(n % 5 == 0, "N").otherwise("Y"), "QUALIFICATION": _none(),
     }
     found = checklists.afd_cleanup(table(spark, sf_dir, "customer").select(*[c.alias(name) for name, c in values.items()]), "DS")
     return found.select("scientific_name", "taxon_rank", "taxonomic_status", "qualification", "family", "canonical_name", "authorship", "scientific_name_authorship", "published_media_title", "entity_id", "taxon_id")
@@ -264,7 +266,7 @@ def genome_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    attribute = lambda n, v: F.struct(F.lit(n).alias("_attribute_name"), NONE.alias("_harmonized_name"), v.cast("string").alias("_VALUE"))
+    attribute = lambda n, v: F.struct(F.lit(n).alias("_attribute_name"), _none().alias("_harmonized_name"), v.cast("string").alias("_VALUE"))
     attributes = F.array(attribute("sex", q("c_mktsegment")), attribute("lat_lon", F.concat("c_nationkey", F.lit(" N 5 E"))), attribute("tissue", q("c_name")))
     contact = F.struct(F.struct(F.struct(_tagged("e", "c_custkey").alias("_email"), F.lit("lab").alias("_lab")).alias("Contact")).alias("Contacts"))
     return table(spark, sf_dir, "customer").select(
@@ -292,7 +294,7 @@ def sample_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT c_nationkey AS inst_id, c_custkey AS coll, c_name AS name, n_name AS name_institution FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 2 = 0")
 def collection_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    collections = table(spark, sf_dir, "customer").select(q("c_nationkey").alias("inst_id"), q("c_custkey").alias("coll"), q("c_name").alias("name"), NONE.alias("none"))
+    collections = table(spark, sf_dir, "customer").select(q("c_nationkey").alias("inst_id"), q("c_custkey").alias("coll"), q("c_name").alias("name"), _none().alias("none"))
     return genomes.biocollections(collections, table(spark, sf_dir, "nation").filter("n_nationkey % 2 = 0").select(q("n_nationkey").alias("inst_id"), q("n_name").alias("name")))
 
 
@@ -318,7 +320,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS "occurrenceID", CAST(c_custkey AS VARCHAR)
 """)
 def portal_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select(
-        _text("c_custkey").alias("id"), F.lit("t").alias("type"), F.struct(q("c_name").alias("title")).alias("organization"), F.when(q("c_custkey") % 2 == 0, q("c_mktsegment")).alias("scientific_name"), NONE.alias("species_name"),
+        _text("c_custkey").alias("id"), F.lit("t").alias("type"), F.struct(q("c_name").alias("title")).alias("organization"), F.when(q("c_custkey") % 2 == 0, q("c_mktsegment")).alias("scientific_name"), _none().alias("species_name"),
         F.lit("Aus").alias("genus"), _tagged("b", "c_nationkey").alias("species"), F.lit("c").alias("common_name"), F.array(F.struct(q("c_nationkey").alias("n"))).alias("tags"),
     )
     kept = ["id", "organization.title", "scientific_name", "species_name", "genus", "species", "common_name", "tags", "bpa_url"]
