@@ -131,3 +131,35 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), f AS ({_fo
 SELECT d.doc_id, {", ".join(f"coalesce(n_{k[0]}, 0) AS n_{k[0]}" for k in _kinds)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM d LEFT JOIN g USING (doc_id)
 """
+
+op11_spelling = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z{chr(0xC0)}-{chr(0xFF)}]+')) AS run FROM documents
+), counted AS (
+  SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS key, count(*) AS n FROM runs GROUP BY ALL
+), steps AS (  -- each byte of the key, then eight shifts
+  SELECT run, n, flatten(list_transform(range(0, CAST(octet_length(encode(key)) AS BIGINT)), lambda i: [CAST('0x' || hex(encode(key))[2 * i + 1:2 * i + 2] AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM counted
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, steps), lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, 3988292384 * (c & 1)) END)) AS h FROM steps
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, CAST(h % length(run) AS INT)) || substring(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM hashed
+  ) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), d AS (
+  SELECT word, i, substring(word, 1, CAST(i AS INT) - 1) || substring(word, CAST(i AS INT) + 1) AS without FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+), pairs AS (
+  SELECT x.word AS a, y.word AS b FROM d x JOIN d y ON x.i = y.i AND x.without = y.without AND x.word <> y.word
+  UNION SELECT d.word, v.word FROM d JOIN v ON d.without = v.word
+  UNION SELECT v.word, d.word FROM d JOIN v ON d.without = v.word
+), best AS (
+  SELECT a AS word, count(*) AS n_near, arg_min(b, (-n, b)) AS near, max(n) AS m FROM pairs JOIN v ON v.word = b GROUP BY a
+), f AS (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN near END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n FROM v LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at FROM f
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON walk.at = f.word WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT walk.word, walk.at AS root FROM walk JOIN f ON walk.at = f.word WHERE f.form IS NULL
+)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)
+"""
