@@ -85,6 +85,14 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from fieldloom.llm.alignment import align
+
+    return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokenizer_file())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
