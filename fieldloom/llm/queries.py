@@ -93,6 +93,13 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokenizer_file())
 
 
+def op13_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.llm.html_text import extract, fit
+
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, fit(pages))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
