@@ -150,6 +150,29 @@ def folder_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_dir(spark, path).select("key", "name", "balance", "size")
 
 
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name, CAST(NULL AS VARCHAR) AS segment, CASE WHEN c_nationkey % 3 = 1 THEN c_nationkey END AS nation FROM customer WHERE c_nationkey % 3 < 2
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), NULL, c_mktsegment, c_nationkey FROM customer WHERE c_nationkey % 3 = 2
+""")
+def folder_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose columns stand in other orders, more in some and fewer in others, in one scan; a type inferred."""
+    path = landing(spark, "orders")
+    customers = table(spark, sf_dir, "customer").select(q("c_custkey").cast("string").alias("key"), q("c_name").alias("name"), q("c_mktsegment").alias("segment"), q("c_nationkey").alias("nation"))
+    for part, columns in (("a", ["key", "name"]), ("b", ["name", "nation", "key"]), ("c", ["nation", "segment", "key"])):
+        writers.write_csv(customers.filter(q("nation") % 3 == "abc".index(part)).select(columns), f"{path}/{part}")
+    found = readers.read_csv(spark, [f"{path}/{part}" for part in "abc"], infer=True)
+    return found.select(q("key").cast("string").alias("key"), "name", "segment", "nation")
+
+
+@query(f"SELECT {_NOTE} AS note, CAST(c_custkey AS VARCHAR) AS key FROM customer")
+def split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields with line breaks in one file that many tasks read."""
+    path = landing(spark, "split")
+    note = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('", x'))
+    writers.write_csv(table(spark, sf_dir, "customer").select(note.alias("note"), q("c_custkey").alias("key")).coalesce(1), path)
+    return readers.read_csv(spark, path, split=True)
+
+
 @query("""
 SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name, NULL AS nation FROM customer UNION ALL SELECT CAST(s_suppkey AS VARCHAR), NULL, CAST(s_nationkey AS VARCHAR) FROM supplier
 """)

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldloom.operators.splits import closed_records, quoted_records, split_lines
 from fieldloom.operators.storage import settled
 from fieldloom.operators.windows import number_rows
 
@@ -30,28 +31,41 @@ def _options(reader, sep: str, encoding: str, header: bool, multi_line: bool):
 def read_csv(
     spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "utf-8", header_line: int = 0, columns: list[str] | None = None,
     nrows: int | None = None, on_bad_lines: str = "error", infer: bool = False, dates: Iterable[str] = (), keep_na: bool = False,
-    names: list[str] | None = None, skip_rows: Callable[[int], bool] | None = None, multi_line: bool = True,
+    names: list[str] | None = None, skip_rows: Callable[[int], bool] | None = None, multi_line: bool = True, split: bool = False,
 ) -> DataFrame:
     """Delimited files (S01, S02, S07-S15, S17, S18, S25-S27); .gz and .bz2 are read as they are.
 
-    header_line: which line of each file names the columns; lines before it are dropped. skip_rows: which line numbers of
-    each file to leave out. multi_line: quoted fields may hold line breaks; a file is then read by one task, so pass False
-    for huge files without such fields, which Spark then splits. on_bad_lines='skip' drops rows with more fields than the
-    header; short rows are padded with nulls. keep_na keeps blanks as empty text. Spark needs
+    Each file's fields are placed by its own header, so files may have columns in other orders, more of them or fewer; the
+    result has all columns in first-seen order, files taken by name. header_line: which line of each file names the columns;
+    lines before it are dropped. skip_rows: which line numbers of each file to leave out. multi_line: quoted fields may hold
+    line breaks; without split one task reads such a file. split: many tasks read it, which asks for quotes that are even in
+    each record and lines that end in \\n or \\r\\n. on_bad_lines='skip' drops rows with more fields than their file's header; short rows are padded with nulls.
+    keep_na keeps blanks as empty text. infer: each column gets the narrowest type that all its values have. Spark needs
     spark.sql.legacy.javaCharsets for charsets such as windows-1252.
     """
-    if header_line or skip_rows:
-        df = _from_lines(spark, path, sep, encoding, header_line, skip_rows, multi_line)
+    if header_line or skip_rows or (split and multi_line and not names):
+        df = _from_lines(spark, path, sep, encoding, header_line, skip_rows, multi_line, on_bad_lines)
+        df = inferred(df) if infer else df
     else:
-        found = names or _options(spark.read, sep, encoding, True, multi_line).csv(path).columns
-        reader = _options(spark.read, sep, encoding, names is None, multi_line)
-        if infer and on_bad_lines != "skip":
-            df = reader.option("inferSchema", True).csv(path).toDF(*found)
+        headers = None if names or _is_file(spark, path) else _first_lines(spark, path, encoding)
+        heads = _distinct(headers, sep) if headers is not None else []
+        if len(heads) > 1:
+            wide = max(len(h) for _, h in heads)
+            positions = [f"c{i}" for i in range(wide)]
+            rows = _options(spark.read, sep, encoding, True, multi_line).option("enforceSchema", True).schema(_text_schema([*positions, _SPARE])).option("mode", "PERMISSIVE").csv(path)
+            rows = rows.select(F.col("_metadata.file_path").alias("file"), F.array(*positions, _SPARE).alias("fields"))
+            df = _placed(rows, headers, heads, on_bad_lines)
+            df = inferred(df) if infer else df
         else:
-            # A spare column catches what goes beyond the header; short rows are padded by the reader.
-            df = reader.schema(_text_schema([*found, _SPARE])).option("mode", "PERMISSIVE").csv(path)
-    if _SPARE in df.columns:
-        df = (df.filter(F.col(_SPARE).isNull()) if on_bad_lines == "skip" else df).drop(_SPARE)
+            found = names or _options(spark.read, sep, encoding, True, multi_line).csv(path).columns
+            reader = _options(spark.read, sep, encoding, names is None, multi_line)
+            if infer and on_bad_lines != "skip":
+                df = reader.option("inferSchema", True).csv(path).toDF(*found)
+            else:
+                # A spare column catches what goes beyond the header; short rows are padded by the reader.
+                df = reader.schema(_text_schema([*found, _SPARE])).option("mode", "PERMISSIVE").csv(path)
+                df = (df.filter(F.col(_SPARE).isNull()) if on_bad_lines == "skip" else df).drop(_SPARE)
+                df = inferred(df) if infer else df
     if columns is not None:
         df = df.select(*[F.col(f"`{c}`") for c in columns])
     if keep_na:
@@ -62,25 +76,80 @@ def read_csv(
     return df.limit(nrows) if nrows is not None else df
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str], encoding: str = "utf-8") -> DataFrame:
-    """file, no (0-based, within the file), value: lines of text files.
+def inferred(df: DataFrame, types: Iterable[str] = ("int", "bigint", "double", "boolean", "date", "timestamp")) -> DataFrame:
+    """Columns of text as the first of the types that all their values have; one aggregation over the table. A column without values stays text."""
+    types = list(types)
+    fails = [F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull()) for c in df.columns for t in types]
+    told = df.agg(F.array(*fails, F.lit(0)), F.array(*[F.count(F.col(f"`{c}`")) for c in df.columns], F.lit(0))).first()
+    kinds = {c: next((t for j, t in enumerate(types) if told[1][i] and not told[0][i * len(types) + j]), "string") for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in kinds.items()])
+
+
+def _is_file(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether the path names one file, so that there is one header."""
+    paths = [path] if isinstance(path, str) else path
+    if len(paths) != 1 or any(c in paths[0] for c in "*?[{"):
+        return False
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths[0])
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.exists(at) and system.getFileStatus(at).isFile()
+
+
+def _first_lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
+    """file, header: the first line of each file that isn't blank, found where a file's first block is read; one row a file."""
+    lines = spark.read.option("encoding", encoding).text(path).filter(F.col("_metadata.file_block_start") == 0).filter(F.trim("value") != "")
+    placed = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("place"))
+    return settled(placed.groupBy("file").agg(F.min_by("value", "place").alias("header")), "headers")
+
+
+def _names(header: str, sep: str) -> list[str]:
+    """Names in a header line; empty and repeated ones are numbered, as Spark does."""
+    header = header.lstrip("\ufeff")
+    found = next(csv.reader([header], delimiter=sep), []) if len(sep) == 1 else header.split(sep)
+    return [n if n and found.count(n) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(found)]
+
+
+def _distinct(headers: DataFrame, sep: str, clean: Callable[[list[str]], list[str]] = lambda names: names) -> list[tuple[str, list[str]]]:
+    """Header lines, each once, by the first file that has it, with their names. A header is a schema: they are few, however many files."""
+    rows = headers.groupBy("header").agg(F.min("file").alias("first")).orderBy("first").collect()
+    return [(r["header"], clean(_names(r["header"], sep))) for r in rows]
+
+
+def _placed(rows: DataFrame, headers: DataFrame, heads: list[tuple[str, list[str]]], on_bad_lines: str) -> DataFrame:
+    """Rows (file, fields) with each field under the name that its file's header gives it.
+
+    A header becomes an array: for each column of the result its place in the file. Files meet their array in a join of
+    one row a file, which Spark broadcasts while it is small.
+    """
+    every = list(dict.fromkeys(n for _, names in heads for n in names))
+    spark = rows.sparkSession
+    places = spark.createDataFrame([(h, [names.index(c) if c in names else None for c in every], len(names)) for h, names in heads], "header string, places array<int>, width int")
+    of_file = settled(headers.join(places, "header").select(F.col("file").alias("of"), "places", "width"), "places")
+    found = rows.join(of_file, F.col("file") == F.col("of"))
+    if on_bad_lines == "skip":
+        found = found.filter(~F.exists(F.slice("fields", F.col("width") + 1, F.greatest(F.size("fields") - F.col("width"), F.lit(0))), lambda x: x.isNotNull()))
+    return found.select(*[F.get("fields", F.get("places", F.lit(i))).alias(c) for i, c in enumerate(every)])
+
+
+def numbered_lines(spark: SparkSession, path: str | list[str], encoding: str = "utf-8", line_sep: str | None = None, with_split: bool = False) -> DataFrame:
+    """file, no (0-based, within the file), value: lines of text files; with_split adds start and place.
 
     A line's place within its split is known where it is read; what is joined to it is one count for each split.
     """
-    at = {"file": F.col("_metadata.file_path"), "start": F.col("_metadata.file_block_start"), "place": F.monotonically_increasing_id()}
-    lines = spark.read.option("encoding", encoding).text(path).select("value", *[c.alias(n) for n, c in at.items()])
+    lines = split_lines(spark, path, encoding, line_sep)
     splits = lines.groupBy("file", "start").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)  # one row a split
     base = splits.select(F.col("file").alias("f"), F.col("start").alias("s"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("base"))
     base = settled(base, "splits")  # of a known size, so that Spark sends it to the lines instead of moving them
-    return lines.join(base, (F.col("file") == F.col("f")) & (F.col("start") == F.col("s"))).select("file", (F.col("place") + F.col("base")).alias("no"), "value")
+    found = lines.join(base, (F.col("file") == F.col("f")) & (F.col("start") == F.col("s")))
+    return found.select("file", (F.col("place") + F.col("base")).alias("no"), "value", *(["start", "place"] if with_split else []))
 
 
 def _from_lines(
-    spark: SparkSession, path: str | list[str], sep: str, encoding: str, header_line: int, skip_rows: Callable[[int], bool] | None, multi_line: bool
+    spark: SparkSession, path: str | list[str], sep: str, encoding: str, header_line: int, skip_rows: Callable[[int], bool] | None, multi_line: bool, on_bad_lines: str
 ) -> DataFrame:
     """Lines are numbered in each file, those that are left out go, the rest are put together to records and parsed."""
-    lines = numbered_lines(spark, path, encoding)
+    lines = numbered_lines(spark, path, encoding, "\n", with_split=True)
     if skip_rows:
 
         @F.pandas_udf("boolean")
@@ -91,21 +160,16 @@ def _from_lines(
         header_at = next(k for k in count() if not skip_rows(k))
     else:
         header_at = header_line
-    header = lines.filter(F.col("no") == header_at).orderBy("file").first()["value"]
-    names = [n.strip().lstrip("#").strip() for n in next(csv.reader([header], delimiter=sep[:1]))] if len(sep) == 1 else [n.strip().lstrip("#").strip() for n in header.split(sep)]
+    headers = settled(lines.filter(F.col("no") == header_at).select("file", F.regexp_replace("value", "\r$", "").alias("header")), "headers")
+    heads = _distinct(headers, sep, lambda names: [n.strip().lstrip("#").strip() for n in names])
     body = lines.filter(F.col("no") > header_at)
     if multi_line:
-        # A record goes on while its quotes are uneven; the run of a file's quotes tells where each one starts.
-        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-        upto = W.partitionBy("file").orderBy("no").rowsBetween(W.unboundedPreceding, -1)
-        opened = F.pmod(F.coalesce(F.sum(quotes).over(upto), F.lit(0)), F.lit(2)) == 1
-        starts = body.withColumn("opened", opened).withColumn("record", F.sum((~F.col("opened")).cast("int")).over(W.partitionBy("file").orderBy("no")))
-        whole = starts.groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("no", "value"))).alias("x"))
-        body = whole.select("file", F.array_join(F.transform("x", lambda v: v["value"]), "\n").alias("value"))
-    schema = ", ".join(f"c{i} string" for i in range(len(names) + 1))
-    parsed = F.from_csv("value", schema, {"sep": sep, "quote": '"', "escape": '"'})
-    body = body.filter(F.trim("value") != "").select(parsed.alias("r"))
-    return body.select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate([*names, _SPARE])])
+        body = quoted_records(body.select("file", "start", "place", "value"))
+    body = body.withColumn("value", F.regexp_replace("value", "\r$", ""))
+    positions = [f"c{i}" for i in range(max((len(names) for _, names in heads), default=0) + 1)]
+    parsed = F.from_csv("value", ", ".join(f"{c} string" for c in positions), {"sep": sep, "quote": '"', "escape": '"'})
+    body = body.filter(F.trim("value") != "").select("file", parsed.alias("r")).select("file", F.array(*[f"r.{c}" for c in positions]).alias("fields"))
+    return _placed(body, headers, heads, on_bad_lines)
 
 
 def read_tsv(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -133,13 +197,11 @@ def read_stacked(spark: SparkSession, sections: dict[str, str], **options) -> Da
 
 
 def read_files(spark: SparkSession, paths: list[str], **options) -> DataFrame:
-    """CSV and TSV files, columns united in first-seen order; files with one header are one scan."""
-    groups: dict[tuple, list[str]] = {}
+    """CSV and TSV files, columns united in first-seen order; one scan of each kind, whatever headers they have."""
+    groups: dict[str, list[str]] = {}
     for p in paths:
-        sep = {"sep": "\t"} if p.rsplit(".", 1)[-1] == "tsv" else {}
-        header = _options(spark.read, (sep | options).get("sep", ","), options.get("encoding", "utf-8"), True, False).csv(p).columns  # reads the first line
-        groups.setdefault((*sep.values(), *header), []).append(p)
-    frames = [read_csv(spark, group, **((({"sep": "\t"}) if group[0].endswith(".tsv") else {}) | options)) for group in groups.values()]
+        groups.setdefault("\t" if p.endswith(".tsv") else options.get("sep", ","), []).append(p)
+    frames = [read_csv(spark, group, **(options | {"sep": sep})) for sep, group in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -194,11 +256,10 @@ def read_flat_records(spark: SparkSession, path: str | list[str], with_file: boo
 
     with_file adds the columns of read_flat_headers.
     """
-    records = spark.read.option("lineSep", "\n//\n").text(path).select(F.col("value").alias("record"), *([F.col("_metadata.file_path").alias("file")] if with_file else []))
-    records = records.withColumn("record", F.regexp_replace("record", r"\n//\s*$", "")).filter(F.trim(F.regexp_replace("record", r"\s+", " ")) != "")
+    lines = split_lines(spark, path, line_sep="\n").withColumn("value", F.regexp_replace("value", "\r$", ""))
+    found = closed_records(lines).select("file", F.array_join("lines", "\n").alias("record"))
     started = F.regexp_replace("record", r"(?s)^.*?(?=(?:^|(?<=\n))LOCUS )", "")  # a file header stands before the first record
-    without = F.regexp_replace(started, r"(?s)\nORIGIN.*$", "\nORIGIN")
-    out = records.withColumn("record", without).withColumn("sections", F.split("record", r"\n(?=\S)"))
+    out = found.select(started.alias("record"), *(["file"] if with_file else [])).withColumn("sections", F.split("record", r"\n(?=\S)"))
     return out.join(read_flat_headers(spark, path), "file").drop("file") if with_file else out
 
 
