@@ -14,6 +14,7 @@ and carried by ``columns``.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from bisect import bisect_right
@@ -115,36 +116,97 @@ def _gif(b: memoryview, at: int) -> tuple[int, str] | None:
     return parts and (parts[0] + 1, f"{width}x{height}")
 
 
+#: A marker within coded data that is no stuffing and no restart.
+_MARKER = re.compile(rb"\xff[^\x00\xd0-\xd7]", re.S)
+
+
+@lru_cache(maxsize=4)
+def _shapes(blob: bytes) -> dict[int, tuple[int, str] | None]:
+    """For places where a JPEG segment starts: the end of the picture, and the last shape told from there on."""
+    return {}
+
+
 def _jpeg(b: memoryview, at: int) -> tuple[int, str] | None:
-    pos, shape = at + 2, ""
-    while pos + 4 <= len(b) and b[pos] == 0xFF:
-        mark = b[pos + 1]
-        if mark == 0xD9:
-            return (pos + 2, shape) if shape else None
-        size = struct.unpack_from(">H", b, pos + 2)[0]
-        if size < 2 or pos + 2 + size > len(b):
-            return None
+    known, path, pos = _shapes(b.obj), [], at + 2
+    while pos not in known:
+        own = ""
+        if pos + 1 < len(b) and b[pos] == 0xFF and b[pos + 1] == 0xD9:
+            known[pos] = pos + 2, ""
+            break
+        if pos + 4 > len(b) or b[pos] != 0xFF or (size := struct.unpack_from(">H", b, pos + 2)[0]) < 2 or pos + 2 + size > len(b):
+            known[pos] = None
+            break
+        mark, after = b[pos + 1], pos + 2 + size
         if mark in (0xC0, 0xC1, 0xC2) and size >= 8:
-            shape = "{1}x{0}".format(*struct.unpack_from(">HH", b, pos + 5))
-        pos += 2 + size
-        if mark == 0xDA:  # coded data ends at a marker that is no stuffing and no restart
-            while pos + 1 < len(b) and not (b[pos] == 0xFF and b[pos + 1] != 0 and not 0xD0 <= b[pos + 1] <= 0xD7):
-                pos += 1
-    return (pos + 2, shape) if shape and pos + 2 <= len(b) and b[pos] == 0xFF and b[pos + 1] == 0xD9 else None
+            own = "{1}x{0}".format(*struct.unpack_from(">HH", b, pos + 5))
+        if mark == 0xDA:
+            found = _MARKER.search(b, after)
+            after = found.start() if found else len(b)
+        path.append((pos, own))
+        pos = after
+    found = known[pos]
+    for p, own in reversed(path):
+        found = known[p] = found and (found[0], found[1] or own)
+    return found if found and found[1] else None
 
 
-def _riff(b: memoryview, at: int) -> tuple[int, str] | None:
+#: Parts of a RIFF container that its detail names; the rest are counted.
+NAMED_PARTS = 8
+
+
+def _riff_head(b: memoryview, at: int) -> tuple[int, bytes] | None:
+    """End and form that a RIFF head tells, if they can be."""
     if at + 12 > len(b):
         return None
-    end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
-    form, pos, parts = bytes(b[at + 8 : at + 12]), at + 12, []
-    if end > len(b) or form not in (b"WAVE", b"WEBP", b"AVI "):
+    end, form = at + 8 + struct.unpack_from("<I", b, at + 4)[0], bytes(b[at + 8 : at + 12])
+    return (end, form) if end <= len(b) and form in (b"WAVE", b"WEBP", b"AVI ") else None
+
+
+@lru_cache(maxsize=4)
+def _riff_parts(blob: bytes) -> tuple[dict[int, int], dict[int, int], dict[int, tuple[int, int]]]:
+    """All chains of parts that the blob's RIFF heads begin, as one forest: next place, depth, and span of each place.
+
+    Where a part ends depends on its own place alone, so chains that meet go on together and each place is walked once.
+    """
+    b, after = memoryview(blob), {}
+    for at in _places(blob, b"RIFF"):
+        pos = at + 12
+        if _riff_head(b, at):
+            while pos not in after and pos + 8 <= len(b):
+                size = struct.unpack_from("<I", b, pos + 4)[0]
+                after[pos] = pos + 8 + size + size % 2
+                pos = after[pos]
+    below: dict[int, list[int]] = {}
+    for pos, then in after.items():
+        below.setdefault(then, []).append(pos)
+    depth, span, count = {}, {}, 0
+    for root in [p for p in below if p not in after]:
+        todo = [(root, 0, False)]
+        while todo:
+            pos, level, done = todo.pop()
+            if done:
+                span[pos] = span[pos][0], count
+                continue
+            count += 1
+            depth[pos], span[pos] = level, (count, count)
+            todo.append((pos, level, True))
+            todo += [(p, level + 1, False) for p in below.get(pos, ())]
+    return after, depth, span
+
+
+def _riff(b: memoryview, at: int) -> tuple[int, str] | None:
+    head = _riff_head(b, at)
+    if head is None:
         return None
-    while pos + 8 <= end:
-        size = struct.unpack_from("<I", b, pos + 4)[0]
+    (end, form), pos = head, at + 12
+    after, depth, span = _riff_parts(b.obj)
+    if pos == end or pos not in span or end not in span or not span[end][0] <= span[pos][0] <= span[end][1]:
+        return None  # its parts don't end where it does
+    parts, n = [], depth[pos] - depth[end]
+    for _ in range(min(n, NAMED_PARTS)):
         parts.append(bytes(b[pos : pos + 4]).decode("latin-1").strip())
-        pos += 8 + size + size % 2
-    return (end, f"{form.decode().strip()}:{'+'.join(parts)}") if pos == end and parts else None
+        pos = after[pos]
+    return end, f"{form.decode().strip()}:{'+'.join(parts)}" + (f"+{n - NAMED_PARTS}" if n > NAMED_PARTS else "")
 
 
 def _bmp(b: memoryview, at: int) -> tuple[int, str] | None:
@@ -270,7 +332,10 @@ def _samples(blob: bytes, whole: Item) -> bytes:
 
 
 def columns(blobs: DataFrame, content: str = "content", declared: str = "declared") -> DataFrame:
-    """blobs with media_type, type_corrected, media_detail and embedded (type, start, end, bytes) added."""
+    """blobs with media_type, type_corrected, media_detail and embedded (type, start, end, bytes) added.
+
+    An item that overlaps one carved before it has its place alone (bytes null), so what is carved is never more than the blob.
+    """
     kind = "media_type string, type_corrected boolean, media_detail string, embedded array<struct<type:string,start:long,end:long,content:binary>>"
 
     @F.pandas_udf(f"struct<{kind.replace(' string', ':string').replace(' boolean', ':boolean').replace(' array', ':array')}>")
@@ -279,7 +344,11 @@ def columns(blobs: DataFrame, content: str = "content", declared: str = "declare
         for blob, said in zip(content_, declared_, strict=True):
             blob = bytes(blob) if blob is not None else b""
             x = describe(blob, said)
-            out.append((x["type"], x["corrected"], x["detail"], [{"type": e.type, "start": e.start, "end": e.end, "content": blob[e.start : e.end]} for e in x["embedded"]]))
+            carved, upto = [], 0
+            for e in x["embedded"]:
+                carved.append({"type": e.type, "start": e.start, "end": e.end, "content": blob[e.start : e.end] if e.start >= upto else None})
+                upto = max(upto, e.end)
+            out.append((x["type"], x["corrected"], x["detail"], carved))
         return pd.DataFrame(out, columns=["media_type", "type_corrected", "media_detail", "embedded"])
 
     found = look(F.col(content), F.col(declared))

@@ -1,10 +1,14 @@
 import gzip
 import hashlib
 import io
+import random
 import struct
+import time
 import zipfile
 import zlib
 
+import pytest
+
 from fieldloom.llm import media
 
 
@@ -113,3 +117,52 @@ def test_round_trip(docs, odd, none):
                 wanted.add((len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(blob), hashlib.sha256(blob).hexdigest()))
             assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256) in wanted
     assert media.text_media(none).count() == 0
+
+
+def plain_riff(blob, at):
+    """The container's parts walked one by one."""
+    if at + 12 > len(blob):
+        return None
+    end, form, pos, parts = at + 8 + struct.unpack_from("<I", blob, at + 4)[0], blob[at + 8 : at + 12], at + 12, 0
+    if end > len(blob) or form not in (b"WAVE", b"WEBP", b"AVI "):
+        return None
+    while pos + 8 <= end:
+        size = struct.unpack_from("<I", blob, pos + 4)[0]
+        pos, parts = pos + 8 + size + size % 2, parts + 1
+    return (end, parts) if pos == end and parts else None
+
+
+def test_riff_forest_against_walks():
+    r = random.Random(4)
+    for _ in range(300):
+        blob = b"".join(r.choice([b"RIFF" + struct.pack("<I", r.choice([4, 12, 20, 28, 40, 60, 3])) + b"WAVE", b"data" + struct.pack("<I", r.choice([0, 1, 2, 4, 8, 16])), b"ab", b"\0\0\0\0"]) for _ in range(r.randint(1, 30)))
+        for at in range(len(blob)):
+            if blob.startswith(b"RIFF", at):
+                found, want = media._riff(memoryview(blob), at), plain_riff(blob, at)
+                assert (found and found[0]) == (want and want[0])
+
+
+@pytest.mark.parametrize("kind", ["riff", "jpeg", "riff text"])
+def test_nested_heads_take_linear_time(kind):
+    n = 40_000
+    if kind == "riff":  # each head's parts go on to the one end of all
+        end = 24 * n
+        blob = b"".join(b"RIFF" + struct.pack("<I", end - 24 * k - 8) + b"WAVE" + b"data" + struct.pack("<I", 4) + b"abcd" for k in range(n))
+    elif kind == "riff text":  # lengths that are characters of UTF-8
+        blob = b"".join(b"RIFF" + struct.pack("<I", 0x00010101 + k % 100) + b"WAVEdata\x04\0\0\0" for k in range(n))
+        blob = media.store(blob.ljust(-(-len(blob) // 64) * 64, b"\0"))
+    else:
+        blob = b"\xff\xd8\xff\xc0\x00\x08\x08\x00\x01\x00\x01\x00\xff\xda\x00\x02" * n + b"\xff\xd9"
+    began = time.process_time()
+    items = media.sniff(blob)
+    assert time.process_time() - began < 4 and sum(len(x.detail) for x in items) < 100 * max(1, len(items))
+    assert kind != "riff" or len(items) == n
+
+
+def test_carved_bytes_are_no_more_than_the_blob(spark):
+    inner = media.store(b"x" * 64)
+    outer = media.store((inner + b"y" * 64)[:172])
+    blob = b"??" + outer + inner
+    row = media.columns(spark.createDataFrame([(blob, "t")], "content binary, declared string")).first()
+    assert [(e.start, e.content is not None) for e in row.embedded] == [(2, True), (46, False), (2 + len(outer), True)]
+    assert sum(len(e.content or b"") for e in row.embedded) <= len(blob)
