@@ -104,7 +104,9 @@ _kinds = [
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "len(digits) BETWEEN 10 AND 15", 0.6, "phone|call|tel|mobile|fax"),
     ("iban", r"\b(?:" + "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n}}}" for n, c in _countries) + r")\b", _mod97, 0.9, "iban|account|bank|konto|compte|cuenta"),
     ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "match[1:3] NOT IN ('000', '666') AND match[1:3] < '900' AND match[5:6] <> '00' AND match[8:] <> '0000'", 0.7, "ssn|social|security"),
-    ("secret", r"\b(?:AKIA[0-9A-Z]{16}|(?:password|passwd|secret|token|api_?key)\x20?[=:]\x20?[\x22\x27]?[A-Za-z0-9+/_-]{8,128})\b", r"regexp_matches(regexp_replace(match, '^(?:[a-z_]+\x20?[=:]\x20?)?', ''), '[0-9]')", 0.8, "aws|key|login|auth|credential"),
+    # An access key, or a name in any case of letters, a sign and the longest run of at least eight characters that has a digit.
+    ("secret", r"\b(?:AKIA[0-9A-Z]{16}\b|(?i:pass(?:word|wd)|secret|token|api_?key) ?[:=] ?[\x22\x27]?[-A-Za-z0-9+/_]{8,})",
+     r"regexp_matches(CASE WHEN starts_with(match, 'AKIA') THEN match ELSE regexp_extract(match, '[:=](.*)$', 1) END, '[0-9]')", 0.8, "aws|key|login|auth|credential"),
 ]
 _found = " UNION ALL ".join(
     f"""SELECT doc_id, text, '{kind}' AS kind, {rank} AS rank, unnest(m) AS match, unnest(b[:len(m)]) AS gap, unnest(range(len(m))) AS i, {score} AS score, '(?:^|[^a-z0-9])(?:{words})' AS context

@@ -73,3 +73,14 @@ def test_redact(odd, none):
     assert "@" not in text and "<email>" in text and "<iban>" in text and "555" not in text
     assert out.filter("doc_id = 5").first().text is None
     assert redact(none).count() == 0
+
+
+def test_secrets_of_any_length_and_case(spark, none):
+    values = ["a1" * n for n in (4, 64, 65, 100, 5000)] + ["Zz9-/+_x"]
+    named = [f"{name}{sign}{v}" for v in values for name in ("token", "TOKEN", "Password", "api_key", "ApiKey", "SECRET", "passwd") for sign in ("=", ": ", ' = "')]
+    rows = [(i, f"see {t} there") for i, t in enumerate(named)]
+    for r in digest(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.spans == f"secret:4:{4 + len(named[r.doc_id])}", named[r.doc_id][:40]
+    for text in ("token=abc1234", "TOKEN=abcdefghij", "xtoken=a1a1a1a1", "AKIA" + "0" * 15, "AKIA" + "0" * 17):
+        assert digest(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().n_secret == 0
+    assert digest(spark.createDataFrame([(1, "AKIA" + "Z" * 15 + "7")], "doc_id long, text string")).first().spans == "secret:0:20"
