@@ -197,6 +197,8 @@ def near_ties(docs: DataFrame, first: DataFrame) -> DataFrame:
     keys = materialise(_variant_keys(survivors), "variants")
     replaced = keys.filter("role = 0").select("key", "place")
     firsts = replaced.groupBy("key").agg(F.min("place").alias("other"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "other")
+    # Written first: what replaces a word then meets it in a plain join, whose partitions Spark can split where one key is very common.
+    firsts = materialise(firsts, "firsts")
     whole = keys.filter("role = 1").select("key", F.col("place").alias("other"))
     ties = replaced.join(firsts, "key").unionByName(keys.filter("role = 2").select("key", "place").join(whole, "key"))
     ties = ties.filter("place <> other").select(F.greatest("place", "other").alias("place"), F.least("place", "other").alias("other")).distinct()
@@ -210,7 +212,7 @@ def near_ties(docs: DataFrame, first: DataFrame) -> DataFrame:
 
     sound = ties.join(lines_, "place").join(others, "other").select("place", "other", "line_a", "line_b").mapInPandas(run, "place long, other long")
     ends = _ends(sound.groupBy("place").agg(F.min("other").alias("other")))
-    discard(keys)
+    discard(keys, firsts)
     where = survivors.select(F.col("place").alias("other"), F.col("doc_id").alias("near_doc_id"), F.col("line_no").alias("near_line_no"))
     found = ends.join(survivors.select("place", "h1", "h2"), "place").join(where, "other")
     found = materialise(found.select("h1", "h2", "near_doc_id", "near_line_no"), "near")
