@@ -190,9 +190,10 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = materialise(components(links(distinct, **options)), "roots")
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Written first: fingerprints then meet it in a plain join, whose partitions Spark can split where a component is giant.
+    least = materialise(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
     found = materialise(rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id", "root"), "components")
-    discard(distinct, roots)
+    discard(distinct, roots, least)
     return prints.join(found, F.col("fp") == F.col("_fp")).drop("_fp")
 
 
