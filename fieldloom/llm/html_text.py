@@ -424,8 +424,9 @@ def fit_pages(htmls: list[str | None], layouts: int = 5, seed: int = 5) -> Label
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
     """The network, fitted on a bounded sample of pages; rows that repeat a page's text count once."""
-    short = pages.filter(F.char_length("html") <= SAMPLE_CHARS).select("html").distinct()
-    rows = short.orderBy(F.xxhash64("html"), "html").limit(sample).collect()
+    short, place = pages.filter(F.char_length("html") <= SAMPLE_CHARS), F.xxhash64("html")
+    least = [r["place"] for r in short.select(place.alias("place")).distinct().orderBy("place").limit(sample).collect()]  # hashes alone are compared
+    rows = short.filter(place <= max(least)).select("html").distinct().orderBy(place, "html").collect() if least else []
     return fit_pages([r["html"] for r in rows])
 
 
