@@ -50,7 +50,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?=[A-Z]{2}[0-9]{2})\b(?:" + "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n}}}" for n, c in IBAN_COUNTRIES.items()) + r")\b",
     "ssn": r"(?=[0-9])\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
-    "secret": r"(?=[ApstPST])\b(?:AKIA[0-9A-Z]{16}\b|(?i:password|passwd|secret|token|api_?key)\x20?[=:]\x20?[\x22']?[A-Za-z0-9+/_-]{8,})",
+    "secret": r"(?=[AaPpSsTt])\b(?:AKIA[0-9A-Z]{16}\b|(?i:password|passwd|secret|token|api_?key)\x20?[=:]\x20?[\x22']?[A-Za-z0-9+/_-]{8,})",
 }
 #: A text without this has no match of the kind.
 HINTS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
