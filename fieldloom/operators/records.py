@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,11 @@ def section(name: str) -> Column:
     return F.trim(F.substring(found, len(name) + 1, 1 << 30))
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value worked out once, however often f names it: Spark writes a column out again wherever it stands in a lambda."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _joined(c: Column) -> Column:
     """Wrapped lines to one."""
     return F.regexp_replace(c, r"\s*\n\s+", " ")
@@ -57,13 +64,19 @@ def parse_comment_tags(records: DataFrame) -> DataFrame:
 
     Keys are lower-case, blanks are underscores and round brackets go; of equal keys the last one stays.
     """
-    comment = section("COMMENT")
-    pairs = []
-    for tag in COMMENT_TAGS:
-        block = F.regexp_extract(comment, rf"(?s)##{tag}-START##(.*?)##{tag}-END##", 1)
-        pairs.append(F.transform(F.filter(F.split(_joined_pairs(block), "\n"), lambda x: F.contains(x, F.lit("::"))), _pair))
-    plain = F.transform(F.split(F.regexp_replace(comment, r"\n {13,}", " "), "\n"), lambda x: F.trim(x))
-    return records.withColumns({"comment": F.array_join(F.filter(plain, lambda x: x != ""), "\\n"), "comment_tags": F.map_from_entries(_last_wins(F.concat(*pairs)))})
+
+    def tags(comment: Column) -> Column:
+        blocks = [F.regexp_extract(comment, rf"(?s)##{tag}-START##(.*?)##{tag}-END##", 1) for tag in COMMENT_TAGS]
+        pairs = [F.transform(F.filter(F.split(_joined_pairs(b), "\n"), lambda x: F.contains(x, F.lit("::"))), _pair) for b in blocks]
+        return F.map_from_entries(bound(F.concat(*pairs), _last_wins))
+
+    def plain(comment: Column) -> Column:
+        lines = F.transform(F.split(F.regexp_replace(comment, r"\n {13,}", " "), "\n"), lambda x: F.trim(x))
+        return F.array_join(F.filter(lines, lambda x: x != ""), "\\n")
+
+    both = bound(section("COMMENT"), lambda c: F.struct(plain(c).alias("comment"), tags(c).alias("comment_tags")))
+    name = "_comments"
+    return records.withColumn(name, both).withColumns({"comment": F.col(name)["comment"], "comment_tags": F.col(name)["comment_tags"]}).drop(name)
 
 
 def _joined_pairs(block: Column) -> Column:
