@@ -44,3 +44,36 @@ def discard(*tables: DataFrame) -> None:
     """Remove tables of settled that nothing will read again."""
     for t in tables:
         remove(t.sparkSession, t._written_to)
+
+
+def _at(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written beside its place, then renamed."""
+    at, system = _at(spark, path)
+    beside, _ = _at(spark, f"{path}.{uuid.uuid4().hex}")
+    out = system.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if system.exists(at):
+        system.delete(at, False)
+    if not system.rename(beside, at):
+        raise OSError(f"{path} can't be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    at, system = _at(spark, path)
+    stream = system.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it isn't there."""
+    at, system = _at(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(at)] if system.exists(at) else []

@@ -9,7 +9,7 @@ from fieldloom.operators import aggregates, mapping, records
 from fieldloom.operators.columns import q
 from fieldloom.plans import occurrences
 from fieldloom.plans.registry import landing, query, table
-from fieldloom.sources import readers, writers
+from fieldloom.sources import commits, readers, writers
 from fieldloom.streaming import incremental
 
 
@@ -286,10 +286,10 @@ def event_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = landing(spark, "events")
     customers = table(spark, sf_dir, "customer").withColumn("again", q("c_custkey"))
     found = {"c_custkey": mapping.Target("collection", "record"), "c_name": mapping.Target("collection", "scientific_name")}
-    writers.write_events(mapping.apply_map(customers, found), path)
-    writers.write_parquet(readers.read_parquet(spark, f"{path}/unmapped"), f"{path}/copy", mode="overwrite")
+    writers.write_events(mapping.apply_map(customers, found), path, batch=0)
+    writers.write_parquet(commits.read_table(spark, path, "unmapped"), f"{path}/copy", mode="overwrite")
     rest = readers.read_parquet(spark, f"{path}/copy", ["again", "c_nationkey", "c_mktsegment", "c_acctbal"])
-    return readers.read_parquet(spark, f"{path}/collection").join(rest, q("record") == q("again")).drop("again")
+    return commits.read_table(spark, path, "collection").join(rest, q("record") == q("again")).drop("again")
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, (SELECT count(*) FROM customer) AS rows, true AS bounded FROM customer")

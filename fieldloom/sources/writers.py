@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.operators.columns import align
-from fieldloom.sources.readers import read_csv
+from fieldloom.sources import commits
+from fieldloom.sources.readers import read_files
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, sep: str = ",", mode: str = "overwrite") -> None:
@@ -24,8 +25,16 @@ def write_parquet(df: DataFrame, path: str, columns: list[str] | None = None, as
     out.write.mode(mode).parquet(path)
 
 
-def write_events(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One table for each struct column of a converted table."""
+def write_events(df: DataFrame, path: str, mode: str = "overwrite", batch: int | None = None) -> None:
+    """One table for each struct column of a converted table.
+
+    With a batch number readers (``commits.read_table``) see all its tables at once or none; without one they are plain
+    folders, written one after another.
+    """
+    if batch is not None:
+        if commits.current(df.sparkSession, path) is None:
+            commits.begin(df.sparkSession, path, "events")
+        return commits.write_batch(df, path, commits.current(df.sparkSession, path), batch)
     for event in df.columns:
         df.select(f"`{event}`.*").write.mode(mode).parquet(f"{path}/{event}")
 
@@ -36,8 +45,11 @@ def compact(spark: SparkSession, source: str, target: str, files: int = 1) -> No
 
 
 def merge_files(spark: SparkSession, paths: list[str], target: str, **options) -> None:
-    """Files with different columns into one table, columns in first-seen order."""
-    frames = [spark.read.parquet(p) if p.endswith(".parquet") else read_csv(spark, p, **options) for p in paths]  # few: a part each is a branch
+    """Files with different columns into one table, columns in first-seen order (K07); one scan of each format, however many files."""
+    parquet, text = [p for p in paths if p.endswith(".parquet")], [p for p in paths if not p.endswith(".parquet")]
+    frames = ([read_files(spark, text, **options)] if text else []) + ([spark.read.option("mergeSchema", True).parquet(*parquet)] if parquet else [])
+    if parquet and paths[0] in parquet:
+        frames.reverse()
     write_csv(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), target)
 
 

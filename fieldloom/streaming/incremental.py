@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldloom.operators.columns import q
 from fieldloom.operators.mapping import Mapping, convert
 from fieldloom.operators.windows import last_success
+from fieldloom.sources import commits
 
 #: A run of a step; counts holds what a step wants to tell besides.
 RUN_COLUMNS = ("step", "index", "success", "task started", "task completed", "duration", "outputs", "counts")
@@ -30,21 +31,23 @@ def convert_incremental(
 ) -> StreamingQuery:
     """Convert what has landed since the last run and stop; the checkpoint knows what is done, so a restart repeats nothing.
 
-    Each event is a folder of its own; a batch writes under its number and overwrites itself if it is tried again.
+    Rows and checkpoint lie under a fingerprint of the settings: with another mapping, dataset or column everything that has
+    landed is converted afresh, and readers go by the new rows; earlier settings, taken up again, go on where they were.
+    Readers see a batch when all its events are written; one that is tried again replaces itself.
     """
+    run = commits.fingerprint({k: list(t) for k, t in mapping.items()}, dataset_id, event, column, prefix, stream.schema.json())
+    if commits.current(stream.sparkSession, target) != run:
+        commits.begin(stream.sparkSession, target, run)
 
     def write(batch: DataFrame, number: int) -> None:
-        done = convert(batch, mapping, dataset_id, event, column, prefix)
-        done.persist()
-        for name in done.columns:
-            done.select(f"`{name}`.*").write.mode("overwrite").parquet(f"{target}/{name}/batch={number}")
-        done.unpersist()
+        commits.write_batch(convert(batch, mapping, dataset_id, event, column, prefix), target, run, number)
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/{run}").trigger(availableNow=True).start()
 
 
 def read_event(spark: SparkSession, target: str, event: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/{event}").drop("batch")
+    """Rows of an event by the current settings, of whole batches alone."""
+    return commits.read_table(spark, target, event)
 
 
 def pending(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
