@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,14 +32,33 @@ def sample_n(df: DataFrame, n: int, seed: int, keys: list[str] | None = None) ->
 
 
 def sample_fields(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """Up to n distinct filled values of each column, as (field, value)."""
-    cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), q(c).cast("string").alias("value")) for c in df.columns])).alias("x"))
-    distinct = cells.select("x.*").filter("value is not null").distinct()
-    # Spread by a seeded hash first, so a wide column's values are cut down in many tasks before one orders the rest.
-    place = _place(seed, ["field", "value"])
-    spread = W.partitionBy("field", F.pmod(F.xxhash64("value"), F.lit(64))).orderBy(place, "value")
-    few = distinct.withColumn("place", place).withColumn("k", F.row_number().over(spread)).filter(F.col("k") <= n)
-    best = W.partitionBy("field").orderBy("place", "value")
+    """Up to n distinct filled values of each column, as (field, value).
+
+    A task keeps a bottom-k sketch for each column, the n values whose seeded digests are least, and sends only those on;
+    the sketches' union has the n least of all.
+    """
+    fields = df.columns
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[str, dict[str, str]] = {f: {} for f in fields}
+        for batch in batches:
+            for i, field in enumerate(fields):
+                kept = least[field]
+                new = [v for v in batch.column(i).unique().to_pylist() if v is not None and v not in kept]
+                placed = [(hashlib.md5(f"{seed}|{field}|{v}".encode()).hexdigest(), v) for v in new]
+                if len(kept) + len(placed) > n:
+                    bound = max(((p, v) for v, p in kept.items()), default=("", "")) if len(kept) >= n else None
+                    placed = [x for x in placed if bound is None or x < bound]
+                    kept = dict((v, p) for p, v in sorted([*placed, *((p, v) for v, p in kept.items())])[:n])
+                else:
+                    kept = kept | {v: p for p, v in placed}
+                least[field] = kept
+        rows = [(f, v, p) for f, kept in least.items() for v, p in kept.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)], ["field", "value", "place"])
+
+    cells = df.select(*[q(c).cast("string").alias(f"c{i}") for i, c in enumerate(fields)])
+    few = cells.mapInArrow(sketch, "field string, value string, place string").distinct()
+    best = W.partitionBy("field").orderBy("place", "value")  # n rows a task at most
     return few.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= n).select("field", "value")
 
 

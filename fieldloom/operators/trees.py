@@ -12,15 +12,20 @@ from fieldloom.operators.storage import discard, settled, shared_folder
 
 
 def resolve_inheritance(df: DataFrame, key: str, parent: str, pairs: dict[str, str]) -> DataFrame:
+    return resolve_and_report(df, key, parent, pairs)[0]
+
+
+def resolve_and_report(df: DataFrame, key: str, parent: str, pairs: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """{flag: value}: where the flag is set, the value of the nearest ancestor whose flag is clear.
 
     Pointer jumping: each round a row whose source is still flagged takes its source's source, so rounds grow with the
     logarithm of the depth. A root that is its own parent, or a parent that isn't there, ends the walk with the value there.
-    Flagged rows that lead in a circle have no such ancestor: that is an error.
+    Flagged rows that lead in a circle have no such ancestor: that is an error. The second table, from the same rounds, has
+    a row for each walk that a parent that isn't there has ended: (key, flag, missing).
     """
     sources = {f: f"_at_{f}" for f in pairs}
     cur = df.select(q(key).alias("_key"), *[F.when(F.coalesce(q(f), F.lit(False)), F.coalesce(q(parent), q(key))).otherwise(q(key)).alias(s) for f, s in sources.items()])
-    cur = settled(cur, "pointers")
+    cur = written = settled(cur, "pointers")
     for k in range(65):
         if k == 64:  # more steps than a table can have rows
             raise ValueError("flagged rows lead in a circle")
@@ -29,7 +34,9 @@ def resolve_inheritance(df: DataFrame, key: str, parent: str, pairs: dict[str, s
             up = cur.select(F.col("_key").alias("_up"), F.col(s).alias("_next"))
             out = out.join(up, F.col(s) == F.col("_up"), "left").withColumn(f"{s}_", F.coalesce("_next", s)).drop("_up", "_next")
         moved = settled(out, "pointers")
-        same = moved.filter(" or ".join(f"not ({s} <=> {s}_)" for s in sources.values())).limit(1).count() == 0
+        same = not moved.filter(" or ".join(f"not ({s} <=> {s}_)" for s in sources.values())).take(1)
+        discard(written)
+        written = moved
         cur = moved.select("_key", *[F.col(f"{s}_").alias(s) for s in sources.values()])
         if same:
             break
@@ -38,11 +45,13 @@ def resolve_inheritance(df: DataFrame, key: str, parent: str, pairs: dict[str, s
         inner = cur.join(ends, F.col(s) == F.col("_end"), "left_semi").join(ends.select("_end", "_above"), F.col(s) == F.col("_end"))
         if inner.join(df.select(q(key).alias("_any")), F.col("_above") == F.col("_any"), "left_semi").take(1):
             raise ValueError("flagged rows lead in a circle")
+    walked = cur.select(F.col("_key").alias(key), F.inline(F.array(*[F.struct(F.lit(f).alias("flag"), F.col(s).alias("missing")) for f, s in sources.items()])))
+    missing = walked.filter(F.col("missing").isNotNull()).join(df.select(q(key).alias("_there")), F.col("missing") == F.col("_there"), "left_anti")
     out = df.join(cur, q(key) == F.col("_key"), "left")
     for f, v in pairs.items():
         at = df.select(q(key).alias("_src"), q(v).alias("_value"))
         out = out.join(at, F.col(sources[f]) == F.col("_src"), "left").withColumn(v, F.coalesce(F.col("_value"), q(v))).drop("_src", "_value")
-    return out.drop("_key", *sources.values(), *pairs)
+    return out.drop("_key", *sources.values(), *pairs), missing
 
 
 def walk_tree(nodes: DataFrame, key: str, parent: str, stop: str, path: str) -> DataFrame:

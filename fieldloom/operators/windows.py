@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,9 +11,25 @@ from pyspark.sql import functions as F
 from fieldloom.operators.storage import settled
 
 
-def ordinal(df: DataFrame, keys: list[str], order: list[str | Column], into: str = "ordinal") -> DataFrame:
-    """1-based place of a row among those with its key."""
-    return df.withColumn(into, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+def ordinal(df: DataFrame, keys: list[str], order: list[str | Column], into: str = "ordinal", spread: bool = False) -> DataFrame:
+    """1-based place of a row among those with its key.
+
+    A key's rows are numbered in one task unless spread is set: then rows are dealt by ranges of key and order, each range
+    is numbered by itself, and the keys that go on from one range to the next get one count a range. It costs another
+    shuffle and suits tables in which one key holds much of the rows.
+    """
+    if not spread:
+        return df.withColumn(into, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    placed = settled(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "ranged")
+    own = placed.withColumn(into, F.row_number().over(W.partitionBy("_part", *keys).orderBy(*order)))
+    names = [f"_of_{c}" for c in keys]
+    counts = placed.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # one row a range that the key is in
+    carried = counts.withColumn("_base", F.sum("_n").over(before)).filter(F.col("_base").isNotNull())
+    base = settled(carried.select(F.col("_part").alias("_to"), "_base", *[F.col(f"`{c}`").alias(n) for c, n in zip(keys, names, strict=True)]), "carried")  # a row a range at most
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(n)) for c, n in zip(keys, names, strict=True)]
+    met = reduce(lambda x, y: x & y, same, F.col("_part") == F.col("_to"))
+    return own.join(base, met, "left").withColumn(into, (F.col(into) + F.coalesce("_base", F.lit(0))).cast("int")).select(*[F.col(f"`{c}`") for c in df.columns], into)
 
 
 def ffill(df: DataFrame, order: list[str], partition: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
@@ -36,7 +54,11 @@ def ffill(df: DataFrame, order: list[str], partition: list[str] | None = None, c
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
-    """The first row of each key."""
+    """The first row of each key.
+
+    Spark keeps one row a key in each task before the shuffle (a group limit under the window), so a key of many rows
+    sends one row a task on.
+    """
     return ordinal(df, keys, order, "_place").filter("_place = 1").drop("_place")
 
 

@@ -308,6 +308,19 @@ def inherit_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trees.resolve_inheritance(nodes, "c_custkey", "up", {"flag": "c_name"}).select("c_custkey", "c_name")
 
 
+@query("""
+WITH RECURSIVE n AS (SELECT c_custkey AS k, CASE WHEN c_custkey < 2 THEN c_custkey ELSE c_custkey // 2 END AS p, c_custkey % 3 <> 0 AS f FROM customer WHERE c_custkey % 7 <> 3),
+w AS (SELECT k, k AS at FROM n UNION ALL SELECT w.k, n.p FROM w JOIN n ON w.at = n.k WHERE n.f AND n.p <> n.k)
+SELECT w.k AS c_custkey, 'flag' AS flag, w.at AS missing FROM w WHERE w.at NOT IN (SELECT k FROM n)
+""")
+def missing_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose search for an ancestor ends at a parent that isn't there."""
+    key = F.col("c_custkey")
+    nodes = table(spark, sf_dir, "customer").filter(key % 7 != 3)
+    nodes = nodes.select("c_custkey", F.when(key < 2, key).otherwise(F.expr("c_custkey div 2")).alias("up"), (key % 3 != 0).alias("flag"), "c_name")
+    return trees.resolve_and_report(nodes, "c_custkey", "up", {"flag": "c_name"})[1]
+
+
 @query("""
 WITH RECURSIVE n AS (SELECT c_custkey AS k, CASE WHEN c_custkey < 2 THEN NULL ELSE c_custkey // 2 END AS p, c_custkey % 5 = 4 AS stop FROM customer),
 w AS (SELECT k, stop, CAST(k AS VARCHAR) AS path FROM n WHERE p IS NULL UNION ALL SELECT n.k, n.stop, w.path || '/' || n.k FROM w JOIN n ON n.p = w.k WHERE NOT w.stop)
@@ -408,6 +421,17 @@ def ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.ordinal(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"]).select("event_id", "user_id", "ordinal")
 
 
+@query("""
+WITH h AS (SELECT *, CASE WHEN l_orderkey % 10 < 9 THEN -1 ELSE l_orderkey END AS key FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(row_number() OVER (PARTITION BY key ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS INT) AS ordinal FROM h
+""")
+def ordinal_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places within keys of which one holds nine tenths of the rows."""
+    key = F.when(q("l_orderkey") % 10 < 9, F.lit(-1)).otherwise(q("l_orderkey"))
+    rows = table(spark, sf_dir, "lineitem").select(*LINE, key.alias("key"))
+    return windows.ordinal(rows, ["key"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], spread=True).drop("key")
+
+
 @query("""
 SELECT event_id, last_value(nullif(event_type, 'view') IGNORE NULLS) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS event_type FROM events
 """)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldloom.functions import tables
 from fieldloom.functions import text as X
-from fieldloom.operators import aggregates, columns, filters, html, joins, nested, sampling, sets, windows
+from fieldloom.operators import aggregates, columns, filters, groups, html, joins, nested, sampling, schema, sets, windows
 from fieldloom.operators.columns import q
 from fieldloom.plans import genomes
 from fieldloom.plans.registry import LINE, landing, query, table
@@ -306,3 +307,105 @@ def step_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ordinal_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = windows.ordinal(table(spark, sf_dir, "orders"), ["o_custkey"], [F.desc("o_orderdate"), "o_orderkey"])
     return found.filter("ordinal <= 2").select("o_custkey", "o_orderkey")
+
+
+# ---- columns that the data decide ----
+
+_SEEN = """CASE event_type WHEN 'view' THEN '{"views": {"n": ' || event_id || ', "of": ["u' || user_id || '", "x"]}, "props": ' || props || '}' ELSE '{"' || event_type || 's": {"n": ' || event_id || '}}' END"""
+
+
+@query(f"""
+WITH j AS (SELECT event_id, {_SEEN} AS j FROM events), k AS (SELECT event_id, unnest(json_keys(j)) AS k, j FROM j),
+top AS (SELECT k FROM k GROUP BY k ORDER BY count(*) DESC, k LIMIT 2)
+SELECT j.event_id, (SELECT string_agg(k, ',' ORDER BY k) FROM top) AS columns, string_agg(CASE WHEN k.k IN (SELECT k FROM top) THEN k.k || '=' || CAST(json_extract(k.j, '$.' || k.k || '.n') AS VARCHAR) END, ',' ORDER BY k.k) AS values,
+       string_agg(CASE WHEN k.k NOT IN (SELECT k FROM top) THEN k.k END, ',' ORDER BY k.k) AS rest
+FROM j LEFT JOIN k ON j.event_id = k.event_id GROUP BY j.event_id
+""")
+def json_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON whose keys are values of the data: the two most frequent become columns, a map keeps the others."""
+    seen = table(spark, sf_dir, "events").select("event_id", F.expr(_SEEN).alias("j"))
+    wide = schema.json_columns(seen, "j", width=2)
+    names = [c for c in wide.columns if c not in ("event_id", "rest")]
+    number = lambda c: F.get_json_object(F.to_json(F.struct(q(c).alias("v"))), "$.v.n")
+    values = F.nullif(F.concat_ws(",", *[F.when(q(c).isNotNull(), F.concat(F.lit(f"{c}="), number(c))) for c in names]), F.lit(""))
+    return wide.select("event_id", F.lit(",".join(names)).alias("columns"), values.alias("values"), F.array_join(F.array_sort(F.map_keys("rest")), ",").alias("rest"))
+
+
+@query("""
+SELECT event_id, unnest(['u' || user_id, 'x']) AS "views|of", event_id AS "views|n", CAST(json_extract(props, '$.k') AS BIGINT) AS "props|k" FROM events WHERE event_type = 'view'
+""")
+def json_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON without a declared schema, flattened with its arrays exploded."""
+    seen = table(spark, sf_dir, "events").filter("event_type = 'view'").select("event_id", F.expr(_SEEN).alias("j"))
+    return schema.flatten_json(seen, "j").drop("rest")
+
+
+@query("""
+WITH p AS (SELECT o_custkey, o_orderpriority AS name, o_orderstatus AS value, o_orderkey AS place FROM orders), l AS (SELECT o_custkey, name, arg_max(value, place) AS value FROM p GROUP BY ALL),
+top AS (SELECT name FROM p GROUP BY name ORDER BY count(*) DESC, name LIMIT 3)
+SELECT o_custkey, coalesce(string_agg(name || '=' || value, ',' ORDER BY name) FILTER (name IN (SELECT name FROM top)), '') AS shown, string_agg(name || '=' || value, ',' ORDER BY name) FILTER (name NOT IN (SELECT name FROM top)) AS rest
+FROM l GROUP BY o_custkey
+""")
+def named_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key/value rows to columns that the most frequent names give; the other names in a map."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus", "o_orderkey")
+    wide = schema.key_values(rows, "o_custkey", "o_orderpriority", "o_orderstatus", ["o_orderkey"], width=3)
+    shown = F.concat_ws(",", *[F.concat(F.lit(f"{c}="), q(c)) for c in wide.columns[1:-1]])
+    rest = F.array_join(F.transform(F.map_entries("rest"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return wide.select("o_custkey", shown.alias("shown"), rest.alias("rest"))
+
+
+@query("""
+SELECT l_orderkey, max(CASE WHEN l_returnflag = 'A' THEN l_linenumber END) AS "A", max(CASE WHEN l_returnflag = 'N' THEN l_linenumber END) AS "N", count(*) FILTER (l_returnflag = 'R') AS others
+FROM lineitem GROUP BY l_orderkey
+""")
+def listed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of records keyed by what the data hold; 'R' is among the two most frequent only if it is."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("lines"))
+    plain = F.transform("lines", lambda x: F.struct(x["l_returnflag"].alias("flag"), x["l_linenumber"].alias("no")))
+    wide = schema.keyed_records(lines.select("l_orderkey", plain.alias("lines")), "lines", "flag")
+    others = F.size(F.filter(plain, lambda x: x["flag"] == "R")).cast("long").alias("others")
+    return wide.join(lines.select("l_orderkey", others), "l_orderkey").select("l_orderkey", F.col("A")["no"].alias("A"), F.col("N")["no"].alias("N"), "others")
+
+
+# ---- functions of the user's own ----
+
+
+@query("""
+WITH g AS (SELECT o_custkey, min(k) AS a, max(k) AS b FROM (SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS k FROM orders) GROUP BY o_custkey)
+SELECT o_custkey, substring(a, 1, coalesce(list_position(list_transform(range(1, least(length(a), length(b)) + 1), lambda i: a[i] = b[i]), false) - 1, least(length(a), length(b)))) AS prefix FROM g
+""")
+def common_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest text that all order numbers of a customer begin with, a group function that Spark lacks."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", q("o_orderkey").cast("string").alias("key"))
+    return groups.common_prefix(orders, ["o_custkey"], "key")
+
+
+@query("""
+WITH d AS (SELECT DISTINCT l_suppkey, CAST(l_quantity AS BIGINT) AS v FROM lineitem), n AS (SELECT l_suppkey, v - lag(v) OVER (PARTITION BY l_suppkey ORDER BY v) AS gap FROM d)
+SELECT l_suppkey, max(gap) AS gap FROM n GROUP BY l_suppkey
+""")
+def largest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.largest_gap(table(spark, sf_dir, "lineitem").select("l_suppkey", q("l_quantity").cast("long").alias("v")), ["l_suppkey"], "v")
+
+
+@query("""
+SELECT o_orderkey, unnest([0, 1, 2]) AS place, unnest(['LOCUS', 'REFERENCE', 'ORIGIN']) AS name, unnest(['O' || o_orderkey || ' 9 bp', '1', '1 acgt']) AS body,
+       unnest([NULL, 'A. ' || o_orderpriority || ' and B.', NULL]) AS authors, unnest([NULL, 'On ' || o_orderstatus, NULL]) AS title FROM orders
+""")
+def lateral_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of records as rows, by a table function in SQL whose columns follow its constant argument."""
+    tables.register(spark)
+    record = F.concat(F.lit("LOCUS       O"), "o_orderkey", F.lit(" 9 bp\nREFERENCE   1\n  AUTHORS   A. "), "o_orderpriority", F.lit("\n            and B.\n  TITLE     On "), "o_orderstatus", F.lit("\nORIGIN\n        1 acgt"))
+    table(spark, sf_dir, "orders").select("o_orderkey", record.alias("record")).createOrReplaceTempView("flat_records")
+    return spark.sql("SELECT o_orderkey, s.* FROM flat_records, LATERAL record_sections(record, 'AUTHORS,TITLE') s")
+
+
+@query("""
+SELECT page_id, 1 AS level, length(regexp_extract(html, '<h1>(.*?)</h1>', 1)) > 0 AS titled FROM pages WHERE regexp_matches(html, '<h1>.*?</h1>')
+""")
+def lateral_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headings of pages as rows, by a table function used laterally."""
+    tables.register(spark)
+    table(spark, sf_dir, "pages").select("page_id", "html").createOrReplaceTempView("headed_pages")
+    return spark.sql("SELECT page_id, s.level, length(s.title) > 0 AS titled FROM headed_pages, LATERAL page_sections(html) s")

@@ -223,3 +223,95 @@ def test_literals_keep_quoted_words(spark):
 def test_twins_follow_their_order(spark):
     rows, twins = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(1, "b", 1), (1, "a", 2)], "k int, v string, at int")
     assert joins.fetch_from_twin(rows, twins, "k", "v").first().v == "a" and joins.fetch_from_twin(rows, twins, "k", "v", ["at"]).first().v == "b"
+
+
+def test_json_columns_keep_every_key(spark):
+    from fieldloom.operators import schema
+
+    rows = [(1, '{"a":1,"b":{"c":[1,2],"d":"x"},"it\'s":2.5}'), (2, '{"a":"t","b":{"c":[3],"e":true}}'), (3, '{"z":[{"q":1}],"a":null}'), (4, "no json"), (5, None), (6, '{"id":7,"Z":1,"x\'y\\"":3}')]
+    df = spark.createDataFrame(rows, "id int, j string")
+    wide = {r.id: r.asDict(True) for r in schema.json_columns(df, "j", 2).collect()}
+    assert wide[1] == {"id": 1, "a": "1", "b": {"c": [1, 2], "d": "x", "e": None}, "rest": {"it's": "2.5"}}
+    assert wide[3]["rest"] == {"z": '[{"q":1}]'} and wide[4]["rest"] is None and wide[5]["b"] is None
+    every = {r.id: r.asDict(True) for r in schema.json_columns(df, "j").collect()}
+    assert every[6]["id_"] == 7 and every[6]["Z"] == 1 and every[6]["rest"] == {"x'y\"": "3"} and every[1]["it's"] == 2.5
+    flat = schema.flatten_json(df, "j")
+    assert {"b|c", "b|d", "z_|q"} <= set(flat.columns) and flat.filter("id = 1").count() == 2
+    none = schema.json_columns(df.limit(0), "j")
+    assert none.columns == ["id", "rest"] and none.count() == 0
+
+
+def test_named_values_and_keyed_records(spark):
+    from fieldloom.operators import schema
+
+    kv = spark.createDataFrame([(1, "a.b", "1", 1), (1, "a.b", "2", 2), (1, "c", "3", 1), (2, "c", "4", 1), (2, "d", "5", 1), (3, None, "6", 1)], "id int, n string, v string, o int")
+    few = {r.id: r for r in schema.key_values(kv, "id", "n", "v", ["o"], width=1).collect()}
+    assert (few[1].a_b, few[1].rest) == ("2", {"c": "3"}) and few[2].rest == {"c": "4", "d": "5"} and (few[3].a_b, few[3].rest) == (None, None)
+    records = spark.createDataFrame([(1, [("x", 1), ("y", 2), ("x", 3)]), (2, [(None, 4)]), (3, []), (4, None)], "id int, l array<struct<k:string,v:int>>")
+    made = {r.id: r for r in schema.keyed_records(records, "l", "k", width=2).collect()}
+    assert made[1].x.v == 3 and made[1].rest == '[{"k":"y","v":2}]' and made[2].Unknown.v == 4 and made[3].rest is None and made[4].rest is None
+
+
+def test_spread_ordinals_and_first_rows_of_hot_keys(spark):
+    from fieldloom.operators import windows
+
+    df = spark.range(20_000).selectExpr("IF(id % 10 < 9, NULL, id % 50) AS k", "id * 7919 % 20011 AS o")
+    assert windows.ordinal(df, ["k"], ["o"]).exceptAll(windows.ordinal(df, ["k"], ["o"], spread=True)).isEmpty()
+    plan = windows.keep_first(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan  # one row a key and task is sent on
+    assert windows.keep_first(df, ["k"], ["o"]).count() == 6
+
+
+def test_sketches_of_columns(spark):
+    from fieldloom.operators import sampling
+
+    df = spark.range(3000).selectExpr("CAST(id % 700 AS STRING) AS a", "id % 3 AS b", "IF(id % 2 = 0, NULL, id) AS c", "CAST(NULL AS STRING) AS d")
+    import hashlib
+
+    got = sorted(map(tuple, sampling.sample_fields(df.repartition(5), 10, 3).collect()))
+    want = []
+    for f in df.columns:
+        values = {str(r[0]) for r in df.select(f).collect() if r[0] is not None}
+        want += [(f, v) for v in sorted(values, key=lambda v: (hashlib.md5(f"3|{f}|{v}".encode()).hexdigest(), v))[:10]]
+    assert got == sorted(want)
+
+
+def test_missing_ancestors(spark):
+    from fieldloom.operators import trees
+
+    rows = [(1, None, False, "a"), (2, 1, True, "b"), (3, 9, True, "c"), (4, 3, True, "d"), (5, 3, False, "e"), (6, 8, True, "f")]
+    out, missing = trees.resolve_and_report(spark.createDataFrame(rows, "k int, p int, f boolean, v string"), "k", "p", {"f": "v"})
+    assert sorted((r.k, r.flag, r.missing) for r in missing.collect()) == [(3, "f", 9), (4, "f", 9), (6, "f", 8)]
+    assert {r.k: r.v for r in out.collect()}[2] == "a"
+
+
+def test_group_functions(spark):
+    from fieldloom.operators import groups
+
+    rows = [(i % 7 if i % 7 else None, "ab" + str(i % 3) * (i % 5), i * i % 101) for i in range(400)] + [(9, None, None)]
+    df = spark.createDataFrame(rows, "k int, t string, v int").repartition(5)
+    by = {}
+    for k, t, v in rows:
+        by.setdefault(k, []).append((t, v))
+    import os
+
+    wide = {r.k: r.prefix for r in groups.common_prefix(df, ["k"], "t").collect()}
+    assert wide == {k: os.path.commonprefix([t for t, _ in x if t]) if any(t for t, _ in x) else None for k, x in by.items()}
+    gaps = {r.k: r.gap for r in groups.largest_gap(df, ["k"], "v").collect()}
+    ordered = {k: sorted({v for _, v in x if v is not None}) for k, x in by.items()}
+    assert gaps == {k: max((b - a for a, b in zip(x, x[1:])), default=None) for k, x in ordered.items()}
+    f = groups.GroupFunction(lambda rows: len(rows), lambda a, b: a + b, lambda s: (s,))
+    for held in (1, 50_000):  # states that a task lets go early meet again
+        assert {(r.k): r.n for r in groups.group_function(df, ["k"], ["v"], f, "n long", held).collect()} == {k: len(x) for k, x in by.items()}
+    assert groups.common_prefix(df.limit(0), ["k"], "t").count() == 0
+
+
+def test_table_functions(spark):
+    from fieldloom.functions import tables
+
+    tables.register(spark)
+    rows = spark.sql("SELECT * FROM record_sections('LOCUS   L 1\\nREFERENCE   1\\n  AUTHORS   A.\\n            B.\\n            C.\\nX', 'AUTHORS')").collect()
+    assert [tuple(r) for r in rows] == [(0, "LOCUS", "L 1", None), (1, "REFERENCE", "1", "A. B. C."), (2, "X", "", None)]
+    assert spark.sql("SELECT * FROM record_sections(CAST(NULL AS STRING), '')").count() == 0
+    page = spark.sql("SELECT * FROM page_sections('<p>x</p><h1 id=a>A <b>b</b></h1><p>t<h2>C</h2>')").collect()
+    assert [tuple(r) for r in page] == [(1, "A b", "t"), (2, "C", "")]
