@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from html.parser import HTMLParser
+from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from fieldloom.operators.columns import q
 
+#: Characters of pages whose rows are gathered before they go on.
+PIECE_CHARS = 4_000_000
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -36,35 +40,59 @@ class Node:
         return re.sub(r"\s+", " ", "".join(parts)).strip()
 
 
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Node("", {})
-        self.open = [self.root]
-
-    def handle_starttag(self, tag, attrs):
-        closed = {"tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "li": ("li",)}.get(tag, ())
-        while closed and self.open[-1].tag in closed:
-            self.open.pop()
-        node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].children.append(node)
-        if tag not in _VOID:
-            self.open.append(node)
-
-    def handle_endtag(self, tag):
-        if any(n.tag == tag for n in self.open[1:]):
-            while self.open.pop().tag != tag:
-                pass
-
-    def handle_data(self, data):
-        self.open[-1].children.append(data)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attributes>(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)>", re.S | re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Elements whose content is text up to their end tag.
+_RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I) for tag in ("script", "style")}
+_CLOSED = {"tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "li": ("li",)}
 
 
 def parse(html: str | None) -> Node:
-    builder = _Builder()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root
+    """A page as a tree: one pass over its tags, in time that grows with the page. An end tag without its start is left out."""
+    root, page, position = Node("", {}), html or "", 0
+    path, count = [root], {}
+    end = page.rfind(">") + 1  # behind it there is no tag
+
+    def text(upto: int) -> None:
+        if upto > position:
+            data = page[position:upto]
+            path[-1].children.append(unescape(data) if "&" in data else data)
+
+    def close() -> str:
+        tag = path.pop().tag
+        count[tag] -= 1
+        return tag
+
+    while m := _TOKEN.search(page, position, end):
+        text(m.start())
+        position, tag = m.end(), m["tag"]
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if not m["end"]:
+            closed = _CLOSED.get(tag, ())
+            while closed and path[-1].tag in closed:
+                close()
+            told = m["attributes"]
+            found = {k.lower(): unescape(v or w or x) for k, v, w, x in _ATTRIBUTE.findall(told)} if told else {}
+            node = Node(tag, found)
+            path[-1].children.append(node)
+            if tag in _VOID or told.endswith("/"):
+                continue
+            path.append(node)
+            count[tag] = count.get(tag, 0) + 1
+            if tag in _RAW:
+                closing = _RAW[tag].search(page, position)
+                raw = page[position : closing.start() if closing else len(page)]
+                if raw:
+                    node.children.append(raw)
+                position = closing.end() if closing else len(page)
+                close()
+        elif count.get(tag):
+            while close() != tag:
+                pass
+    text(len(page))
+    return root
 
 
 def table_rows(table: Node) -> tuple[list[str], list[list[Node]]]:
@@ -76,14 +104,33 @@ def table_rows(table: Node) -> tuple[list[str], list[list[Node]]]:
 
 def from_pages(pages: DataFrame, key: str, html: str, rows_of: Callable[[Node], list[tuple]], columns: str) -> DataFrame:
     """Rows that a function makes of each page; columns are typed after the key."""
-    names = [c.split()[0] for c in columns.split(",")]
+    kinds = dict(pages.dtypes)
+    return _rows(pages, key, html, rows_of, f"`{key}` {kinds[key]}, {columns}")
+
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(k, *r) for k, h in zip(frame[key], frame[html], strict=True) for r in rows_of(parse(h))]
-            yield pd.DataFrame(rows, columns=[key, *names])
+def _rows(pages: DataFrame, key: str, html: str, rows_of: Callable[[Node], list[tuple]], schema: str) -> DataFrame:
+    """Pages are taken one by one and rows go on whenever the pages behind them come to PIECE_CHARS, so that long pages can't fill a worker."""
+    out_type = to_arrow_schema(StructType.fromDDL(schema))
 
-    return pages.select(q(key), q(html)).mapInPandas(run, f"`{key}` {dict(pages.dtypes)[key]}, {columns}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told() -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) or [()] * len(out_type)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out_type, strict=True)], schema=out_type)
+
+        rows, chars = [], 0
+        for batch in batches:
+            keys, texts = batch.column(0), batch.column(1)
+            for i in range(batch.num_rows):
+                page = texts[i].as_py()
+                k = keys[i].as_py()
+                rows += [(k, *r) for r in rows_of(parse(page))]
+                chars += len(page or "")
+                if chars >= PIECE_CHARS:
+                    yield told()
+                    rows, chars = [], 0
+        yield told()
+
+    return pages.select(q(key), q(html)).mapInArrow(run, schema)
 
 
 def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -98,12 +145,7 @@ def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def _mapped(pages: DataFrame, key: str, html: str, rows_of: Callable[[Node], list[tuple]]) -> DataFrame:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(k, *r) for k, h in zip(frame[key], frame[html], strict=True) for r in rows_of(parse(h))]
-            yield pd.DataFrame(rows, columns=[key, "row_no", "cells"])
-
-    return pages.select(q(key), q(html)).mapInPandas(run, f"`{key}` {dict(pages.dtypes)[key]}, row_no int, cells map<string,string>")
+    return _rows(pages, key, html, rows_of, f"`{key}` {dict(pages.dtypes)[key]}, row_no int, cells map<string,string>")
 
 
 def html_table_rules(pages: DataFrame, key: str, html: str, links: dict[str, str] | None = None, prefixes: dict[str, str] | None = None) -> DataFrame:

@@ -315,3 +315,19 @@ def test_table_functions(spark):
     assert spark.sql("SELECT * FROM record_sections(CAST(NULL AS STRING), '')").count() == 0
     page = spark.sql("SELECT * FROM page_sections('<p>x</p><h1 id=a>A <b>b</b></h1><p>t<h2>C</h2>')").collect()
     assert [tuple(r) for r in page] == [(1, "A b", "t"), (2, "C", "")]
+
+
+def test_pages_are_parsed_in_linear_time():
+    import time
+
+    from fieldloom.operators import html
+
+    cells = lambda page: [[c.text() for c in r] for r in html.table_rows(html.parse(page).find("table"))[1]]
+    assert cells("<TABLE class=x><tr><th>A<th>B<tr><td>1 &amp; 2<td><a href='/x?a=1&amp;b'>y</a>z<br/>w</table>") == [["1 & 2", "yz w"]]
+    link = html.parse("<p><a data-x href=\"a'b>c\" class=k>t</a></b>").find("a")
+    assert link.attributes == {"data-x": "", "href": "a'b>c", "class": "k"} and link.text() == "t"
+    assert html.parse("<script>var a='<td>';</script><td>x").find("td").text() == "x" and html.parse(None).children == []
+    for unit in ("<td>", "<div>", "</p>", "<a ='", "<!--", "<b", "&amp"):
+        began = time.process_time()
+        html.parse("<b>" + unit * 50_000)
+        assert time.process_time() - began < 3
