@@ -290,7 +290,7 @@ SELECT d.doc_id, d.lang, l.quality AS quality_species, g.toxic AS toxic_species
 LEFT JOIN (SELECT doc_id, quality FROM labels) l ON d.doc_id = l.doc_id AND d.lang = 'en' LEFT JOIN (SELECT doc_id, toxic FROM labels) g ON d.doc_id = g.doc_id AND d.lang = 'en'
 """)
 def enrich_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").withColumn("species", F.lit("en")).dropDuplicates(["doc_id"])
+    labels = windows.keep_first(table(spark, sf_dir, "labels").withColumn("species", F.lit("en")), ["doc_id"], ["quality", "toxic"])
     return joins.enrich_by_rank(table(spark, sf_dir, "documents").select("doc_id", "lang"), labels, "doc_id", "lang", ["species"])
 
 

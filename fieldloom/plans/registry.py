@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.operators.storage import shared_folder
+from fieldloom.operators.storage import remove, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,6 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders below which this process's queries land their files, by session.
+_LANDED: dict[int, str] = {}
+
+
 def landing(spark: SparkSession, name: str) -> str:
-    """A new folder for files that a query writes and reads back."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder for files that a query writes and reads back; all of a session's are removed when the process ends.
+
+    A query's rows are read after it has returned, so it can't remove them itself.
+    """
+    if id(spark) not in _LANDED:
+        _LANDED[id(spark)] = root = f"{shared_folder(spark)}/landing-{uuid.uuid4().hex}"
+        atexit.register(lambda: remove(spark, root) if spark.sparkContext._jsc is not None else None)  # before the session's own end
+    return f"{_LANDED[id(spark)]}/{name}-{uuid.uuid4().hex}"
