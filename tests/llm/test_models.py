@@ -165,3 +165,32 @@ def test_language_stage_keeps_clean_documents_and_rejects_the_rest(docs, spark):
     assert language_id.keep_known(clean, model).count() >= 0.99 * clean.count()
     other = ["Съешь же ещё этих мягких французских булок, да выпей чаю", "いろはにほへとちりぬるをわかよたれそつねならむ", "zxqv kjh wqp mnbv qwx zzk", "1234 --- 5678", ""]
     assert language_id.keep_known(spark.createDataFrame([(i, t) for i, t in enumerate(other)], "doc_id long, text string"), model).count() == 0
+
+
+def test_svm_is_at_its_optimum():
+    """The objective at the fitted weights against finite differences and against a long run of plain gradient steps."""
+    import numpy as np
+
+    from fieldloom.llm.language_id import fit_svm
+
+    r = np.random.default_rng(2)
+    x = r.standard_normal((300, 12)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    positive = x[:, 0] + 0.3 * r.standard_normal(300) > 0.1
+    y, penalty = np.where(positive, 1.0, -1.0), 1e-3
+    weight = np.where(positive, 0.5 / positive.sum(), 0.5 / (~positive).sum())
+
+    def loss(v):
+        return float((weight * np.maximum(0, 1 - y * (x @ v[:-1] + v[-1])) ** 2).sum() + penalty / 2 * (v[:-1] ** 2).sum())
+
+    w, bias = fit_svm(x, positive, rounds=2000, penalty=penalty)
+    v = np.append(w.astype(np.float64), bias)
+    slope = np.array([(loss(v + e) - loss(v - e)) / 2e-4 for e in 1e-4 * np.eye(13)])
+    assert np.abs(slope).max() < 1e-3
+    z = np.zeros(13)
+    for _ in range(20_000):
+        slack = np.maximum(0, 1 - y * (x @ z[:-1] + z[-1])) * y * weight
+        z += 0.2 * np.append(2 * x.T @ slack - penalty * z[:-1], 2 * slack.sum())
+    assert loss(v) <= loss(z) + 1e-5
+    w, bias = fit_svm(x, positive, penalty=penalty)  # as many rounds as the operator takes
+    assert loss(np.append(w, bias)) <= 1.02 * loss(z) + 1e-3

@@ -1,6 +1,9 @@
 import zlib
 from collections import defaultdict
 
+import pytest
+
+from fieldloom.llm import sharding
 from fieldloom.llm.sharding import shard
 
 
@@ -67,3 +70,47 @@ def test_odd_cases(odd, none):
 def test_target_bytes(docs):
     rows = shard(docs, target_bytes=100_000).collect()
     assert max(r.shard for r in rows) == -(-sum(r.size for r in rows) // 100_000) - 1
+
+
+def plain_tree(rows, leaves, leaf, node=0):
+    """{row: shard}: the tree cut by cut. rows: (row, size, keys); a cut goes at the text where half the bytes are met, within it only if it must."""
+    if leaves == 1 or not rows:
+        return {r: node for r, _, _ in rows}
+    half = leaves // 2
+    widths = [max(k[d] >> 44 for _, _, k in rows) - min(k[d] >> 44 for _, _, k in rows) for d in range(3)]
+    dim = widths.index(max(widths))
+    need = sum(s for _, s, _ in rows) * half / leaves
+
+    def met(weights, need):
+        upto = 0
+        for place in sorted(weights):
+            upto += weights[place]
+            if upto >= need:
+                break
+        return place, upto - need, need - (upto - weights[place])
+
+    def summed(shift, only=None):
+        out = defaultdict(int)
+        for _, s, k in rows:
+            if only is None or k[dim] >> 12 == only:
+                out[k[dim] >> shift] += s
+        return out
+
+    text, over, under = met(summed(12), need)
+    if min(abs(over), abs(under)) <= 0.02 * leaf * min(half, leaves - half):
+        cut = ((text + 1) << 12) - 1 if abs(over) <= abs(under) else (text << 12) - 1
+    else:
+        place, over, under = met(summed(0, text), under)
+        cut = place if abs(over) <= abs(under) else place - 1
+    sides = [r for r in rows if r[2][dim] <= cut], [r for r in rows if r[2][dim] > cut]
+    return plain_tree(sides[0], half, leaf, node) | plain_tree(sides[1], leaves - half, leaf, node + half)
+
+
+@pytest.mark.parametrize("shards", [2, 7, 16])
+def test_against_a_plain_tree(spark, docs, shards):
+    copies = [(100_000 + i, "copy " * 50, "en", f"s{i % 4}") for i in range(300)]
+    df = docs.select("doc_id", "text", "lang", "source").unionByName(spark.createDataFrame(copies, "doc_id long, text string, lang string, source string"))
+    keys = {r.doc_id: (r.size, [r[d] for d in sharding.DIMENSIONS]) for r in sharding.metadata(df).collect()}
+    leaf = sum(s for s, _ in keys.values()) / shards
+    want = plain_tree([(i, s, k) for i, (s, k) in keys.items()], shards, leaf)
+    assert {r.doc_id: r.shard for r in shard(df, shards=shards).collect()} == want
