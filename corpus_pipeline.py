@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldloom.llm import exact_dedup, language_id, mixing, sentencepiece_codec, simhash
 from fieldloom.llm.common import table
 from fieldloom.llm.queries import tokenizer_file
-from fieldloom.operators.storage import exists, remove, shared_folder
+from fieldloom.operators.storage import exists, read_text, remove, shared_folder, write_text
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,13 +52,29 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def made_of(spark: SparkSession, path: str) -> str:
+    """A digest of the documents' files and of the code of the stages."""
+    code = sorted(Path(language_id.__file__).parent.glob("*.py")) + [Path(__file__)]
+    told = hashlib.sha256(b"\0".join(p.read_bytes() for p in code))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    told.update(str(tuple(files.agg(F.count(F.lit(1)), F.sum(one)).first())).encode())
+    return told.hexdigest()
+
+
 def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """The last stage's rows. Stages are written below folder; one that is finished there is read instead of run again.
 
-    Without a folder a new one is taken, and a stage's rows are removed once the next one's are written.
+    What is in a folder counts only for the same documents (files, sizes, times) and the same code; otherwise every stage
+    runs again. Without a folder a new one is taken, and a stage's rows are removed once the next one's are written.
     """
     docs, before = table(spark, sf_dir, "documents"), None
     kept = folder or f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    if folder is not None:
+        own = made_of(spark, f"{sf_dir}/documents.parquet")
+        if not exists(spark, f"{kept}/made_of") or read_text(spark, f"{kept}/made_of") != own:
+            remove(spark, kept)
+            write_text(spark, f"{kept}/made_of", own)
     for name, stage in STAGES[:-1]:
         at = f"{kept}/{name}"
         if folder is None or not exists(spark, f"{at}/_SUCCESS"):
