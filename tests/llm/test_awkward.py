@@ -77,3 +77,12 @@ def test_pipeline_resumes(spark, sf_dir, tmp_path, monkeypatch):
     wanted = sorted(map(str, corpus_pipeline.run(spark, sf_dir, str(tmp_path)).collect()))
     monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, lambda *_: 1 / 0) for n, _ in corpus_pipeline.STAGES[:-1]] + corpus_pipeline.STAGES[-1:])
     assert sorted(map(str, corpus_pipeline.run(spark, sf_dir, str(tmp_path)).collect())) == wanted
+
+
+def test_pipeline_starts_again_for_other_documents(spark, sf_dir, tmp_path):
+    """A folder's stages count for the documents that they were made of."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for n, keep in ((1, "doc_id % 2 = 0"), (2, "true")):
+        docs.filter(keep).write.mode("overwrite").parquet(f"{tmp_path}/in/documents.parquet")
+        ids = {r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/in", f"{tmp_path}/kept").collect()}
+        assert any(i % 2 for i in ids) == (n == 2)
