@@ -116,8 +116,16 @@ def step(inputs: int = 1) -> Callable:
     return mark
 
 
-def map_inputs(spark: SparkSession, f: Callable[[DataFrame], DataFrame], paths: list[str], read: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """The same step over many inputs, one each, united by name (T03); Spark runs them side by side."""
+def map_inputs(
+    spark: SparkSession, f: Callable[[DataFrame], DataFrame], paths: list[str], read: Callable[[SparkSession, str | list[str]], DataFrame], together: bool = False
+) -> DataFrame:
+    """The same step over many inputs, one each, united by name (T03); Spark runs them side by side.
+
+    together: the inputs are read in one scan and the step is planned once, for steps that look at each row by itself and
+    readers that take a list (``read_files`` places columns by each file's header); a plan then doesn't grow with the paths.
+    """
+    if together:
+        return f(read(spark, paths))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f(read(spark, p)) for p in paths])
 
 

@@ -237,3 +237,12 @@ def test_flat_records_over_splits(spark, tmp_path, tiny_splits):
         found = readers.read_flat_records(spark, write(tmp_path / name, content)).collect()
         assert sorted(x.record for x in found) == [f"LOCUS       L{i} x\nCOMMENT     http://a//b\n            // no end\nORIGIN" for i in range(9)]
         assert all([s.split()[0] for s in x.sections] == ["LOCUS", "COMMENT", "ORIGIN"] for x in found)
+
+
+def test_inputs_read_together(spark, tmp_path):
+    paths = [write(tmp_path / f"{n}.csv", f"{h}\n1,2\n") for n, h in (("a", "x,y"), ("b", "y,x"), ("c", "x,z"))]
+    f = lambda df: df.withColumn("x", df["x"].cast("int") + 1)
+    one = incremental.map_inputs(spark, f, paths, readers.read_csv)
+    both = incremental.map_inputs(spark, f, paths, readers.read_files, together=True)
+    assert both.columns == one.columns == ["x", "y", "z"] and sorted(map(str, both.collect())) == sorted(map(str, one.collect()))
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("csv") == 1
