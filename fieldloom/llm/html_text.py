@@ -5,9 +5,10 @@ classes, ids and roles, hashed, nearer ones stronger), a vector of its hashed wo
 linked characters. A bidirectional LSTM in numpy reads a page's blocks in order, so each block is classified with the whole
 page before and behind it in view. Blocks labelled as main text are joined in page order.
 
-The network is fitted on the driver on at most ``SAMPLE`` pages of at most ``SAMPLE_CHARS`` characters, chosen by hash, the
+The network is fitted in one task on at most ``SAMPLE`` pages of at most ``SAMPLE_CHARS`` characters, chosen by hash, the
 same ones in each run. Their own semantic tags label their blocks. So that pages without such tags are read as well, the
-blocks' texts are laid out again with other containers and names (``layout``), some of which say nothing.
+blocks' texts are laid out again with other containers and names (``layout``), some of which say nothing. Where no page is
+short enough, made-up sentences are laid out.
 
 Rules that no learning decides: scripts, styles, templates, comments, form controls and titles are no text; character
 references are decoded; white space inside a block, line breaks included, becomes one blank; an unclosed paragraph or list
@@ -20,6 +21,7 @@ rows give repeated rows; an empty table gives an empty result; other columns are
 from __future__ import annotations
 
 import html
+import pickle
 import random
 import re
 import zlib
@@ -416,6 +418,9 @@ def fit_pages(htmls: list[str | None], layouts: int = 5, seed: int = 5) -> Label
     parsed = [blocks(h, paths) for h in htmls]
     labels = [by_tags(p) for p in parsed]
     texts = [[b.text for b, m in zip(p, own or [len(b.text) > 80 and not b.linked for b in p], strict=True) if m] for p, own in zip(parsed, labels, strict=True)]
+    if not any(texts):  # no page to learn from: made-up sentences take the articles' place
+        word = lambda: "".join(r.choice("aeiourstlnmdk") for _ in range(r.randint(2, 9)))
+        texts = [[" ".join(word() for _ in range(r.randint(4, 60))).capitalize() + "." for _ in range(r.randint(2, 12))] for _ in range(40)]
     spare = [t for x in texts for t in x if len(t) < 300][:2000]
     labelled = [(p, own) for p, own in zip(parsed, labels, strict=True) if own]
     again = [layout(t, spare, paths, r) for t in texts for _ in range(layouts) if t]
@@ -423,11 +428,24 @@ def fit_pages(htmls: list[str | None], layouts: int = 5, seed: int = 5) -> Label
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
-    """The network, fitted on a bounded sample of pages; rows that repeat a page's text count once."""
+    """The network, fitted on a bounded sample of pages; rows that repeat a page's text count once.
+
+    The sample meets in one task, where Spark gives numpy one thread; its weights alone come back.
+    """
     short, place = pages.filter(F.char_length("html") <= SAMPLE_CHARS), F.xxhash64("html")
     least = [r["place"] for r in short.select(place.alias("place")).distinct().orderBy("place").limit(sample).collect()]  # hashes alone are compared
-    rows = short.filter(place <= max(least)).select("html").distinct().orderBy(place, "html").collect() if least else []
-    return fit_pages([r["html"] for r in rows])
+    chosen = short.filter(place <= max(least)).select("html", place.alias("place")).distinct().repartition(1) if least else None
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["place"], r["html"]) for b in batches for r in b.to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_pages([h for _, h in rows]).p)], pa.binary())], ["weights"])
+
+    told = chosen.mapInArrow(learn, "weights binary").collect() if chosen is not None else []
+    if not told:
+        return fit_pages([])
+    model = Labeller()
+    model.p = pickle.loads(told[0]["weights"])
+    return model
 
 
 def extract(pages: DataFrame, model: Labeller) -> DataFrame:

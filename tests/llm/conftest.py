@@ -1,4 +1,8 @@
-import pytest
+import os
+
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # as in Spark's Python workers; small products are no faster on more threads
+
+import pytest  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _id long, size string, fp string, rate double, text_hash string, kept string"
 #: Long, short, equal, nearly equal, blank and missing texts; columns whose names the operators use themselves.

@@ -136,5 +136,7 @@ def test_awkward_pages(spark):
     out = ht.extract(df, ht.fit(df)).collect()
     assert len(out) == 6 and all(r.text == "" for r in out if r.page_id in (1, 2, 3))
     assert [r for r in out if r.page_id is None][0].n_chars >= 0
+    only_long = df.filter("page_id IS NULL")  # none to fit on
+    assert ht.extract(only_long, ht.fit(only_long)).first().text.count("\n") == 19_999
     none = df.limit(0)
     assert ht.extract(none, ht.fit(none)).columns == ["page_id", "url", "text", "n_chars"] and ht.extract(none, ht.fit(none)).count() == 0
