@@ -117,13 +117,30 @@ def area(width: Column | str, height: Column | str) -> Column:
     return F.coalesce(_c(width), F.lit(1)) * F.coalesce(_c(height), F.lit(1))
 
 
-def human_size(c: Column | str) -> Column:
-    """Bytes as text: divided by 1,024 while above it, two decimals and a unit."""
+UNITS = ("B", "KB", "MB", "GB", "TB", "PB")
+
+
+def two_decimals(c: Column | str) -> Column:
+    """A number from 0 up with two decimals: its own value is rounded, halves to even. Java's formats round its printed digits, halves up."""
+    v = _c(c).cast("double")
+    whole = F.floor(v)
+    scaled = ((v - whole) * 2.0**56).cast("long") * 100  # whole for every double from a sixteenth up
+    cents, rest = F.shiftright(scaled, 56), scaled.bitwiseAND(F.lit((1 << 56) - 1))
+    up = (rest > 1 << 55) | ((rest == 1 << 55) & (cents % 2 == 1))
+    cents = cents + up.cast("long")
+    near = F.format_string("%d.%02d", whole + F.when(cents == 100, 1).otherwise(0), cents % 100)
+    return F.when(v < 2.0**53, near).otherwise(F.format_string("%.2f", v))  # no decimals from there on
+
+
+def human_size(c: Column | str, largest: str = "PB") -> Column:
+    """Bytes as text: divided by 1,024 while above it, up to the largest unit; two decimals and a unit."""
     v = _c(c).cast("double")
-    out = F.format_string("%.2f PB", v / 1024.0**5)
-    for k, unit in reversed(list(enumerate(("B", "KB", "MB", "GB", "TB")))):
-        out = F.when(v <= 1024.0 ** (k + 1), F.format_string(f"%.2f {unit}", v / 1024.0**k)).otherwise(out)
-    return out
+    units = UNITS[: UNITS.index(largest) + 1]
+    unit = lambda k: F.concat(F.when(v < 0, "-").otherwise(""), two_decimals(F.abs(v) / 1024.0**k), F.lit(f" {units[k]}"))
+    out = unit(len(units) - 1)
+    for k in reversed(range(len(units) - 1)):
+        out = F.when(v <= 1024.0 ** (k + 1), unit(k)).otherwise(out)
+    return F.when(v.isNotNull(), out)
 
 
 def build_url(base: Column | str, pairs: dict[str, Column | list[Column]]) -> Column:

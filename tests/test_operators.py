@@ -331,3 +331,16 @@ def test_pages_are_parsed_in_linear_time():
         began = time.process_time()
         html.parse("<b>" + unit * 50_000)
         assert time.process_time() - began < 3
+
+
+def test_sizes_are_rounded_as_printf_does(spark):
+    values = [512**3 * 997, 1034**3 * 997, 1152, 1408, 9961472 + 5243, 2**63 - 1, 0, 128]
+    rows = spark.createDataFrame([(v,) for v in values], "v long")
+    found = [tuple(r) for r in rows.select(X.human_size("v", "GB"), X.human_size("v")).collect()]
+    for v, (gigabytes, any_unit) in zip(values, found, strict=True):
+        for top, text in (("GB", gigabytes), ("PB", any_unit)):
+            size, k = float(v), 0
+            while size > 1024 and X.UNITS[k] != top:
+                size, k = size / 1024, k + 1
+            assert text == f"{size:.2f} {X.UNITS[k]}"
+    assert found[0] == ("124.62 GB", "124.62 GB") and found[1] == ("1026.50 GB", "1.00 TB")
