@@ -7,7 +7,9 @@ mirrored halves (insertions and deletions, substitutions up and down) one is emi
 alphabet's size decides the work only: fewer symbols, fewer keys and more pairs to verify. Every near pair is found.
 
 What is joined are distinct words, never documents, so a common word is one row; a word has at most a bounded number of
-near words, since its length and the alphabet bound its neighbourhood.
+near words, since its length and the alphabet bound its neighbourhood. Both sides of every join grow with the corpus, and
+their compressed files look small enough to broadcast long after their rows are not: each join is told to merge, so that
+the driver gets none of them.
 
 Defined results: null and empty texts have no words; a row without doc_id counts with an empty id in front of the colon;
 repeated rows count each time; the ties that remain go to the word that is smallest in code-point order; an empty table
@@ -45,6 +47,11 @@ def words(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_CO
     return found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
 
 
+def merging(df: DataFrame) -> DataFrame:
+    """df, whose joins merge sorted rows whatever its files' size says."""
+    return df.hint("merge")
+
+
 def reduced(word: Column, symbols: str = SYMBOLS) -> Column:
     """The word in the reduced alphabet: each letter's hash picks its symbol."""
     return F.translate(word, LETTERS, "".join(symbols[zlib.crc32(c.encode()) % len(symbols)] for c in LETTERS))
@@ -63,10 +70,11 @@ def neighbourhood(r: Column, symbols: str = SYMBOLS) -> Column:
 def near_pairs(vocabulary: DataFrame, symbols: str = SYMBOLS) -> DataFrame:
     """a, n_a, b, n_b: every pair of distinct words (column word, with n) that is one edit apart, in one order of the two."""
     coded = materialise(vocabulary.select("word", "n", reduced(F.col("word"), symbols).alias("r")), "coded")
-    forms = coded.select("r").distinct()
+    forms = merging(coded.select("r").distinct())
     keys = forms.select("r", F.explode(F.transform(neighbourhood(F.col("r"), symbols), lambda v: F.xxhash64(v))).alias("key"))
     met = keys.join(forms.select(F.col("r").alias("s"), F.xxhash64("r").alias("key")), "key").select("r", "s")
-    left, right = coded.select("r", F.col("word").alias("a"), F.col("n").alias("n_a")), coded.select(F.col("r").alias("s"), F.col("word").alias("b"), F.col("n").alias("n_b"))
+    left = merging(coded.select("r", F.col("word").alias("a"), F.col("n").alias("n_a")))
+    right = merging(coded.select(F.col("r").alias("s"), F.col("word").alias("b"), F.col("n").alias("n_b")))
     other = met.join(left, "r").join(right, "s")
     same = left.join(right, F.col("r") == F.col("s")).filter("a < b")
     pairs = other.select("a", "n_a", "b", "n_b").unionByName(same.select("a", "n_a", "b", "n_b"))
@@ -77,7 +85,7 @@ def follow(forms: DataFrame) -> DataFrame:
     """word, root: where the steps word -> form end; pointers double each round, which is written to the shared folder."""
     now = materialise(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
-        onward = now.select(F.col("word").alias("root"), F.col("root").alias("further"))
+        onward = merging(now.select(F.col("word").alias("root"), F.col("root").alias("further")))
         after = materialise(now.join(onward, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
         discard(now)
         now = after
@@ -94,8 +102,8 @@ def variants(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN
     pairs = near_pairs(vocabulary)
     both = F.inline(F.array(F.struct(F.col("a").alias("word"), F.col("n_b").alias("m"), F.col("b").alias("near")), F.struct(F.col("b").alias("word"), F.col("n_a").alias("m"), F.col("a").alias("near"))))
     best = pairs.select(both).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("m")).alias("m"), "near")).alias("best"))
-    known = vocabulary.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.col("best.near").alias("near"), (-F.col("best.m")).alias("m"))
+    known = vocabulary.join(merging(best), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.col("best.near").alias("near"), (-F.col("best.m")).alias("m"))
     taken = F.col("m") >= ratio * F.col("n")
     known = materialise(known.select("word", "n", "n_near", F.when(taken, F.col("near")).alias("form"), F.when(taken, F.col("m")).alias("form_n")), "forms")
     roots = follow(known.filter("form IS NOT NULL"))
-    return known.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return known.join(merging(roots), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -85,3 +85,13 @@ def test_long_chain_of_forms(spark):
     chain = [("w" * i, f"{'w' * (i + 1)}") for i in range(1, 40)]
     roots = spelling.follow(spark.createDataFrame(chain, "word string, form string"))
     assert {r.word: r.root for r in roots.collect()} == {w: "w" * 40 for w, _ in chain}
+
+
+def test_no_vocabulary_is_broadcast(spark):
+    """The driver would hold a table that grows with the corpus; Spark's limit lets these small ones through."""
+    vocabulary = spark.createDataFrame([("apple", 9), ("aple", 3), ("grape", 4)], "word string, n long")
+    docs = spark.createDataFrame([(1, "apple " * 9 + "applf " * 3)], "doc_id long, text string")
+    for df in (spelling.near_pairs(vocabulary), spelling.variants(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {(r.word, r.form) for r in spelling.variants(docs).collect()} == {("apple", None), ("applf", "apple")}
