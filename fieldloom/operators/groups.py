@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 from typing import Any, NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from fieldloom.operators.columns import q
 
@@ -71,15 +72,11 @@ def common_prefix(df: DataFrame, keys: list[str], column: str, into: str = "pref
 
 
 def largest_gap(df: DataFrame, keys: list[str], column: str, into: str = "gap") -> DataFrame:
-    """The largest difference between neighbouring distinct values of a group.
+    """The largest difference between neighbouring distinct values of a group; null where there are fewer than two.
 
-    Its state is the distinct values met, so it suits groups of bounded variety.
+    Distinct values are sorted by Spark, so a group may have any number of them.
     """
-
-    def gap(s: set) -> tuple:
-        ordered = sorted(s)
-        return (max((b - a for a, b in zip(ordered, ordered[1:], strict=False)), default=None),)
-
-    f = GroupFunction(lambda rows: set(rows[column].dropna().tolist()), lambda a, b: a | b, gap)
-    kind = dict(df.dtypes)[column]
-    return group_function(df, keys, [column], f, f"`{into}` {kind}")
+    by = [q(k) for k in keys]
+    gap = q(column) - F.lag(q(column)).over(Window.partitionBy(*by).orderBy(q(column)))
+    gaps = df.select(*by, q(column)).distinct().select(*by, gap.alias(into))
+    return gaps.groupBy(*by).agg(F.max(q(into)).cast(dict(df.dtypes)[column]).alias(into))

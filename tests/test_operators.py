@@ -344,3 +344,12 @@ def test_sizes_are_rounded_as_printf_does(spark):
                 size, k = size / 1024, k + 1
             assert text == f"{size:.2f} {X.UNITS[k]}"
     assert found[0] == ("124.62 GB", "124.62 GB") and found[1] == ("1026.50 GB", "1.00 TB")
+
+
+def test_gaps_are_found_without_python(spark):
+    from fieldloom.operators import groups
+
+    gaps = groups.largest_gap(spark.createDataFrame([(1, 5), (1, None), (1, 9), (1, 5), (2, 3), (None, None)], "k int, v long"), ["k"], "v")
+    assert {r.k: r.gap for r in gaps.collect()} == {1: 4, 2: None, None: None} and dict(gaps.dtypes)["gap"] == "bigint"
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Pandas" not in plan and "Arrow" not in plan
