@@ -353,3 +353,13 @@ def test_gaps_are_found_without_python(spark):
     assert {r.k: r.gap for r in gaps.collect()} == {1: 4, 2: None, None: None} and dict(gaps.dtypes)["gap"] == "bigint"
     plan = gaps._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_group_functions_see_batches_not_groups(spark):
+    from fieldloom.operators import groups
+
+    rows = [(float("nan"), "a"), (float("nan"), "b"), (None, "c"), (0.5, "d")]
+    f = groups.GroupFunction(lambda rows: sorted(v for (v,) in rows), lambda a, b: sorted(a + b), lambda s: ("".join(s),))
+    found = groups.group_function(spark.createDataFrame(rows, "k double, t string").repartition(3), ["k"], ["t"], f, "all string")
+    assert {(str(r.k), r["all"]) for r in found.collect()} == {("nan", "ab"), ("None", "c"), ("0.5", "d")}
+    assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
