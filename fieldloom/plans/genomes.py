@@ -12,6 +12,7 @@ from fieldloom.operators.columns import copy_columns, drop_any_null_columns, dro
 from fieldloom.operators.filters import skip_names
 from fieldloom.operators.trees import crawl_frontier
 from fieldloom.operators.windows import keep_first
+from fieldloom.plans.registry import landing
 
 
 def assembly_merge(summary: DataFrame, stats: DataFrame) -> DataFrame:
@@ -305,7 +306,9 @@ def i5k(pages: DataFrame, names: dict[str, str], skip: list[str] = ()) -> DataFr
 def page_tables(pages: DataFrame, names: dict[str, str], heading: str | None = None) -> DataFrame:
     """Rows of a page's table, of the one below a heading if that is given; columns with blanks go."""
     rows = html.html_table_with_link(pages, "page_id", "html", heading) if heading else html.html_tables(pages, "page_id", "html")
-    return drop_any_null_columns(html.cells_to_columns(rows, names))
+    cells, path = html.cells_to_columns(rows, names), landing(pages.sparkSession, "page-tables")
+    cells.write.parquet(path)  # parsed once: the rows are read for their blanks, then again
+    return drop_any_null_columns(pages.sparkSession.read.schema(cells.schema).parquet(path))
 
 
 def dnazoo(df: DataFrame) -> DataFrame:

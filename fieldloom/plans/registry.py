@@ -31,6 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df's rows dealt to many tasks, before each row becomes much work: a file of few row groups is read by few tasks."""
+    spark = df.sparkSession
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 #: Folders below which this process's queries land their files, by session.
 _LANDED: dict[int, str] = {}
 

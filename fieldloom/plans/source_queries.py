@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldloom.operators import mapping
 from fieldloom.operators.columns import q
 from fieldloom.plans import checklists, genomes, occurrences
-from fieldloom.plans.registry import landing, query, table
+from fieldloom.plans.registry import landing, query, spread, table
 from fieldloom.sources import readers
 
 
@@ -399,7 +399,8 @@ def readme_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def organism_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key/value rows and the first table of a page for each customer; a column with blanks goes."""
     body = F.concat(F.lit("<table><tr><th>Species</th><th>Size</th></tr><tr><td>"), "c_name", F.lit("</td><td>"), "c_nationkey", F.lit("</td></tr></table><table><tr><th>Key</th><td>"), "c_mktsegment", F.lit("</td></tr></table>"))
-    pages = table(spark, sf_dir, "customer").select(q("c_custkey").alias("page_id"), body.alias("html"))
+    customers = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    pages = customers.select(q("c_custkey").alias("page_id"), body.alias("html"))
     rows = genomes.page_tables(pages, {"species": "Species", "size": "Size", "none": "None"}).drop("row_no")
     return rows.join(genomes.i5k(pages, {"key": "Key"}), "page_id")
 

@@ -213,3 +213,10 @@ def test_reports(spark, tmp_path):
 
     r = project_entries(entry).first()
     assert (r.places, r.authors, r.funders, r.license) == (["P"], ["F L"], [], "") and r.summary.endswith("- k1\n- k2")
+
+
+def test_customer_pages_are_spread_and_parsed_once(spark, sf_dir):
+    from fieldloom.plans.queries import QUERIES
+
+    plan = QUERIES["organism_pages"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "REPARTITION_BY_NUM" in plan  # the table's rows lie in a file, the key/value rows are native
