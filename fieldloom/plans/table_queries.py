@@ -10,7 +10,7 @@ from fieldloom.functions import text as X
 from fieldloom.operators import aggregates, columns, filters, groups, html, joins, nested, sampling, schema, sets, windows
 from fieldloom.operators.columns import q
 from fieldloom.plans import genomes
-from fieldloom.plans.registry import LINE, landing, query, table
+from fieldloom.plans.registry import LINE, landing, query, spread, table
 from fieldloom.streaming import incremental
 
 # ---- names, casts, schemas ----
@@ -260,7 +260,8 @@ UNION ALL SELECT c_custkey, 'Names', 0, NULL, c_name FROM customer
 def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled sections of a page made of each customer."""
     page = F.concat(F.lit("<p>lead</p><h3>Habitat</h3><ul><li><b>Where:</b> n "), "c_nationkey", F.lit("</li><li>"), "c_mktsegment", F.lit("</li></ul><h3>Names</h3><div><p>"), "c_name", F.lit("</p></div>"))
-    return html.html_sections(table(spark, sf_dir, "customer").select("c_custkey", page.alias("html")), "c_custkey", "html")
+    customers = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_name"))
+    return html.html_sections(customers.select("c_custkey", page.alias("html")), "c_custkey", "html")
 
 
 @query("SELECT c_custkey, CAST(c_custkey AS VARCHAR) || '000' AS size, 'h/' || c_nationkey AS raw_files, 'base/' || c_custkey AS page FROM customer")

@@ -220,3 +220,10 @@ def test_customer_pages_are_spread_and_parsed_once(spark, sf_dir):
 
     plan = QUERIES["organism_pages"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan and "REPARTITION_BY_NUM" in plan  # the table's rows lie in a file, the key/value rows are native
+
+
+def test_section_pages_are_spread(spark, sf_dir):
+    from fieldloom.plans.queries import QUERIES
+
+    pages = QUERIES["page_sections"](spark, sf_dir)
+    assert "REPARTITION_BY_NUM" in pages._jdf.queryExecution().executedPlan().toString()
