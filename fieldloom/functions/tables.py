@@ -64,5 +64,5 @@ class PageSections:
 
 def register(spark: SparkSession) -> None:
     """record_sections and page_sections, for SQL: FROM t, LATERAL record_sections(t.record, 'AUTHORS,TITLE')."""
-    spark.udtf.register("record_sections", udtf(RecordSections, useArrow=True))
-    spark.udtf.register("page_sections", udtf(PageSections, useArrow=True))
+    spark.udtf.register("record_sections", udtf(RecordSections, useArrow=False))
+    spark.udtf.register("page_sections", udtf(PageSections, useArrow=False))

@@ -398,7 +398,8 @@ def lateral_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections of records as rows, by a table function in SQL whose columns follow its constant argument."""
     tables.register(spark)
     record = F.concat(F.lit("LOCUS       O"), "o_orderkey", F.lit(" 9 bp\nREFERENCE   1\n  AUTHORS   A. "), "o_orderpriority", F.lit("\n            and B.\n  TITLE     On "), "o_orderstatus", F.lit("\nORIGIN\n        1 acgt"))
-    table(spark, sf_dir, "orders").select("o_orderkey", record.alias("record")).createOrReplaceTempView("flat_records")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus"))
+    orders.select("o_orderkey", record.alias("record")).createOrReplaceTempView("flat_records")
     return spark.sql("SELECT o_orderkey, s.* FROM flat_records, LATERAL record_sections(record, 'AUTHORS,TITLE') s")
 
 

@@ -215,6 +215,13 @@ def test_reports(spark, tmp_path):
     assert (r.places, r.authors, r.funders, r.license) == (["P"], ["F L"], [], "") and r.summary.endswith("- k1\n- k2")
 
 
+def test_section_pages_are_spread(spark, sf_dir):
+    from fieldloom.plans.queries import QUERIES
+
+    pages = QUERIES["page_sections"](spark, sf_dir)
+    assert "REPARTITION_BY_NUM" in pages._jdf.queryExecution().executedPlan().toString()
+
+
 def test_customer_pages_are_spread_and_parsed_once(spark, sf_dir):
     from fieldloom.plans.queries import QUERIES
 
@@ -222,8 +229,8 @@ def test_customer_pages_are_spread_and_parsed_once(spark, sf_dir):
     assert "MapInArrow" not in plan and "REPARTITION_BY_NUM" in plan  # the table's rows lie in a file, the key/value rows are native
 
 
-def test_section_pages_are_spread(spark, sf_dir):
+def test_table_function_takes_rows_in_batches(spark, sf_dir):
     from fieldloom.plans.queries import QUERIES
 
-    pages = QUERIES["page_sections"](spark, sf_dir)
-    assert "REPARTITION_BY_NUM" in pages._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["lateral_sections"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPythonUDTF" in plan and "ArrowEvalPythonUDTF" not in plan and "REPARTITION_BY_NUM" in plan
