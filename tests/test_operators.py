@@ -363,3 +363,9 @@ def test_group_functions_see_batches_not_groups(spark):
     found = groups.group_function(spark.createDataFrame(rows, "k double, t string").repartition(3), ["k"], ["t"], f, "all string")
     assert {(str(r.k), r["all"]) for r in found.collect()} == {("nan", "ab"), ("None", "c"), ("0.5", "d")}
     assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deep_pages_are_searched():
+    from fieldloom.operators import html
+
+    assert html.parse("<div>" * 5000 + "<td>x<b> y</b>").find("td").text() == "xy"
